@@ -6,9 +6,9 @@ assign and no driver-side matrix.
 
 Plan shape (per block):
 
-1. ``repartition(id)`` of the raw text once; tokens are exploded and counted
-   per (id, term) inside that partitioning, so neither the count nor the
-   per-document normalisation shuffles again;
+1. ``repartition(id)`` of the raw text once; terms are counted inside each
+   document (an Arrow-batched helper, ``functions/counting.py``) and exploded,
+   so neither the count nor the per-document normalisation shuffles again;
 2. document frequency and corpus count per term: partial + final hash
    aggregation (a term found in every document costs one row per map task);
 3. the vocabulary filter (min/max df) and top-``max_features`` by corpus count
@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
+from ..functions.counting import term_count_column
 from ..session import BROADCAST_MAX_ROWS
 
 
@@ -66,11 +67,15 @@ class TfidfParams:
 
 def term_counts(docs: DataFrame, text: str | Column, analyzer: Analyzer, id_col: str = "sample_id",
                 partitions: int | None = None) -> DataFrame:
-    """(id, term, tf).  ``partitions`` defaults to the shuffle partition count."""
+    """(id, term, tf).  Documents are hash-partitioned by id once (the text is
+    the smallest thing to move); counting happens inside each document, so the
+    rows come out already grouped by id for every later per-document step."""
     base = docs.select(F.col(id_col), tx.col_of(text).alias("_text"))
     base = base.repartition(partitions, id_col) if partitions else base.repartition(id_col)
-    toks = base.select(id_col, F.explode(analyzer.terms("_text")).alias("term"))
-    return toks.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
+    stop = (tx.spark_stop_words() if analyzer.stop_words else None)
+    counts = term_count_column(F.col("_text"), analyzer.kind, analyzer.ngram_min, analyzer.ngram_max,
+                               stop, analyzer.strip_accents)
+    return base.select(id_col, F.inline(counts))
 
 
 def corpus_stats(tf: DataFrame) -> DataFrame:
@@ -118,7 +123,7 @@ def n_docs_of(docs: DataFrame, id_col: str = "sample_id") -> Column:
 def fit_transform(train: DataFrame, others: list[DataFrame], text: str | Column, p: TfidfParams,
                   id_col: str = "sample_id"):
     """Fit on ``train``; return (vocabulary, weights of train, weights of each other set)."""
-    tf_train = term_counts(train, text, p.analyzer, id_col)
+    tf_train = term_counts(train, text, p.analyzer, id_col).persist()  # feeds the fit and the transform
     vocab = fit_vocabulary(tf_train, n_docs_of(train, id_col), p)
     outs = [transform(tf_train, vocab, p, id_col)]
     for o in others:
