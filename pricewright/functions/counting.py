@@ -19,12 +19,7 @@ from pyspark.sql import functions as F
 
 from . import text as tx
 
-COUNTS_TYPE = "array<struct<term:string,tf:int>>"
-
-
-def _py_ws() -> str:
-    # the Java class syntax \x{..} is \x.. / \u.... in Python's regex module
-    return r"[\s\p{Z}\x1C-\x1F\x85]+"
+COUNTS_TYPE = "struct<term:array<string>,tf:array<int>>"
 
 
 def make_counter(kind: str, ngram_min: int, ngram_max: int, stop_words: tuple[str, ...] | None,
@@ -32,7 +27,6 @@ def make_counter(kind: str, ngram_min: int, ngram_max: int, stop_words: tuple[st
     import regex
 
     word_re = regex.compile(tx.WORD_TOKEN)
-    ws_re = regex.compile(_py_ws())
     src, dst = tx.accent_table()
     table = str.maketrans(src, dst) if strip_accents else None
     stop = frozenset(stop_words or ())
@@ -42,38 +36,39 @@ def make_counter(kind: str, ngram_min: int, ngram_max: int, stop_words: tuple[st
         return t.translate(table) if table is not None else t
 
     def char_wb(t: str) -> Counter:
-        c: Counter = Counter()
-        for word in ws_re.split(t):
-            if not word:
-                continue
-            w = f" {word} "
-            L = len(w)
-            if L < ngram_min:
-                c[w] += 1
-                continue
-            for n in range(ngram_min, min(ngram_max, L) + 1):
-                c.update(w[i:i + n] for i in range(L - n + 1))
-        return c
+        # str.split() splits on exactly the whitespace class WS of text.py
+        padded = [f" {w} " for w in t.split()]
+        grams = [w for w in padded if len(w) < ngram_min]
+        for n in range(ngram_min, ngram_max + 1):
+            grams.extend([w[i:i + n] for w in padded for i in range(len(w) - n + 1)])
+        return Counter(grams)
 
     def words(t: str) -> Counter:
         toks = word_re.findall(t)
         if stop:
             toks = [x for x in toks if x not in stop]
-        c = Counter(toks) if ngram_min <= 1 else Counter()
+        grams = list(toks) if ngram_min <= 1 else []
         for n in range(2, ngram_max + 1):
-            c.update(" ".join(toks[i:i + n]) for i in range(len(toks) - n + 1))
-        return c
+            grams.extend([" ".join(toks[i:i + n]) for i in range(len(toks) - n + 1)])
+        return Counter(grams)
 
     count = char_wb if kind == "char_wb" else words
 
-    def run(texts: pd.Series) -> pd.Series:
-        return pd.Series([[{"term": k, "tf": v} for k, v in count(analyze(t)).items()] for t in texts])
+    def run(texts: pd.Series) -> pd.DataFrame:
+        cs = [count(analyze(t)) for t in texts]
+        return pd.DataFrame({"term": [list(c.keys()) for c in cs], "tf": [list(c.values()) for c in cs]})
 
     return run
 
 
 def term_count_column(text: Column, kind: str, ngram_min: int, ngram_max: int,
                       stop_words: tuple[str, ...] | None, strip_accents: bool) -> Column:
-    """``array<struct<term, tf>>`` of one document."""
+    """``struct<term: array, tf: array>`` of one document (parallel arrays)."""
     fn = F.pandas_udf(make_counter(kind, ngram_min, ngram_max, stop_words, strip_accents), COUNTS_TYPE)
     return fn(text)
+
+
+def term_count_rows(text: Column, *args) -> Column:
+    """Generator expression: one (term, tf) row per distinct term of the document."""
+    c = term_count_column(text, *args)
+    return F.inline(F.arrays_zip(c.getField("term").alias("term"), c.getField("tf").alias("tf")))

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from ..functions.counting import term_count_column
+from ..functions.counting import term_count_rows
 from ..session import BROADCAST_MAX_ROWS
 
 
@@ -71,11 +71,14 @@ def term_counts(docs: DataFrame, text: str | Column, analyzer: Analyzer, id_col:
     the smallest thing to move); counting happens inside each document, so the
     rows come out already grouped by id for every later per-document step."""
     base = docs.select(F.col(id_col), tx.col_of(text).alias("_text"))
-    base = base.repartition(partitions, id_col) if partitions else base.repartition(id_col)
+    # an explicit count: AQE must not merge these partitions, the next stage is
+    # CPU-bound per document (set spark.sql.shuffle.partitions to the data size)
+    n = partitions or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    base = base.repartition(n, id_col)
     stop = (tx.spark_stop_words() if analyzer.stop_words else None)
-    counts = term_count_column(F.col("_text"), analyzer.kind, analyzer.ngram_min, analyzer.ngram_max,
-                               stop, analyzer.strip_accents)
-    return base.select(id_col, F.inline(counts))
+    rows = term_count_rows(F.col("_text"), analyzer.kind, analyzer.ngram_min, analyzer.ngram_max,
+                           stop, analyzer.strip_accents)
+    return base.select(id_col, rows)
 
 
 def corpus_stats(tf: DataFrame) -> DataFrame:
