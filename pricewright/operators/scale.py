@@ -72,6 +72,18 @@ def fit_robust(df: DataFrame, cols: list[str], exact: bool | None = None) -> Col
     return ColumnScaler(center, scale)
 
 
+def quantiles(df: DataFrame, c: str | Column, probs: list[float], exact: bool | None = None) -> Column:
+    """Aggregate Column of quantiles (linear interpolation).  Exact when the
+    column's distinct count is bounded (checked with one sketch aggregate),
+    a quantile sketch otherwise, so the final task never holds an unbounded
+    value set."""
+    x = (F.col(c) if isinstance(c, str) else c).cast("double")
+    if exact is None:
+        exact = (df.agg(F.approx_count_distinct(x)).first()[0] or 0) <= EXACT_QUANTILE_MAX_DISTINCT
+    ps = F.array(*[F.lit(float(v)) for v in probs])
+    return F.percentile(x, ps) if exact else F.percentile_approx(x, ps, SKETCH_ACCURACY)
+
+
 @dataclass
 class ArrayScaler:
     """Element-wise (x − mean) / std for an ``array<double|float>`` column."""
