@@ -87,14 +87,14 @@ def best_by_score(scores: DataFrame, order_col: str = "position") -> DataFrame:
 
 
 def tune(est: Estimator, grid_param, values: list[float], train: DataFrame, fold_col: str = "cv_fold",
-         parallelism: int = 4):
+         parallelism: int = 4, k: int = 5):
     """CrossValidator over the given fold column scored by SMAPE; refits the
     best setting on all rows (rows 80-82)."""
     grid = ParamGridBuilder().addGrid(grid_param, values).build()
     cv = CrossValidator(estimator=est, estimatorParamMaps=grid, evaluator=SmapeEvaluator(),
-                        foldCol=fold_col, parallelism=parallelism)
+                        foldCol=fold_col, numFolds=k, parallelism=parallelism)
     m = cv.fit(train)
-    return m, list(zip(values, m.avgMetrics))
+    return m, [(float(v), float(s)) for v, s in zip(values, m.avgMetrics)]
 
 
 def voting(preds: DataFrame, models: list[str]) -> DataFrame:

@@ -97,28 +97,31 @@ def gbt(iters: int, depth: int, loss: str = "squared", step: float = 0.05, seed:
                         featureSubsetStrategy="0.8", lossType=loss, seed=seed, maxBins=64)
 
 
-def base_models(tree_scale: float = 1.0) -> dict[str, Estimator]:
+def base_models(tree_scale: float = 1.0, rf_trees: int | None = None, gbt_rounds: int | None = None
+                ) -> dict[str, Estimator]:
     """Named candidates (row 85).  ``tree_scale`` multiplies tree and boosting
-    round counts (1.0 = the reference's counts)."""
+    round counts (1.0 = the reference's counts); ``rf_trees`` / ``gbt_rounds``
+    set them outright (the checks use 20 of each)."""
 
     def n(v: int) -> int:
-        return max(1, int(round(v * tree_scale)))
+        return gbt_rounds if gbt_rounds is not None else max(1, int(round(v * tree_scale)))
 
     return {
         "ridge": Ridge(alpha=1.0),
         "elastic_net": ElasticNet(alpha=0.5, l1Ratio=0.7, maxIter=2000),
-        "random_forest": random_forest(n(100)),
+        "random_forest": random_forest(rf_trees if rf_trees is not None else max(1, int(round(100 * tree_scale)))),
         "gbt_leafwise": gbt(n(1000), 5),  # 31-leaf trees ≈ depth 5
         "gbt_depth6": gbt(n(800), 6),
         "gbt_absolute": gbt(n(1000), 6, loss="absolute"),
     }
 
 
-def stacker_models(tree_scale: float = 1.0) -> dict[str, Estimator]:
+def stacker_models(tree_scale: float = 1.0, gbt_rounds: int | None = None) -> dict[str, Estimator]:
+    rounds = gbt_rounds if gbt_rounds is not None else max(1, int(round(500 * tree_scale)))
     return {
         "ridge": Ridge(alpha=1.0, featuresCol="sv"),
         "elastic_net": ElasticNet(alpha=0.1, l1Ratio=0.5, featuresCol="sv"),
-        "gbt": gbt(max(1, int(round(500 * tree_scale))), 4, step=0.1, featuresCol="sv"),
+        "gbt": gbt(rounds, 4, step=0.1, featuresCol="sv"),  # 15-leaf trees ≈ depth 4
     }
 
 
