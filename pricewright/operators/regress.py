@@ -26,12 +26,13 @@ class _Linear(Estimator, HasFeaturesCol, HasLabelCol, HasPredictionCol):
     alpha = Param(Params._dummy(), "alpha", "penalty strength", typeConverter=TypeConverters.toFloat)
     l1Ratio = Param(Params._dummy(), "l1Ratio", "share of L1 in the penalty", typeConverter=TypeConverters.toFloat)
     maxIter = Param(Params._dummy(), "maxIter", "iterations of the iterative solver", typeConverter=TypeConverters.toInt)
+    tol = Param(Params._dummy(), "tol", "convergence tolerance of the iterative solver", typeConverter=TypeConverters.toFloat)
 
     @keyword_only
-    def __init__(self, *, alpha: float = 1.0, l1Ratio: float = 0.0, maxIter: int = 100,
+    def __init__(self, *, alpha: float = 1.0, l1Ratio: float = 0.0, maxIter: int = 100, tol: float = 1e-10,
                  featuresCol: str = "fv", labelCol: str = "price", predictionCol: str = "prediction"):
         super().__init__()
-        self._setDefault(alpha=1.0, l1Ratio=0.0, maxIter=100, featuresCol="fv", labelCol="price",
+        self._setDefault(alpha=1.0, l1Ratio=0.0, maxIter=100, tol=1e-10, featuresCol="fv", labelCol="price",
                          predictionCol="prediction")
         self._set(**self._input_kwargs)
 
@@ -44,7 +45,7 @@ class _Linear(Estimator, HasFeaturesCol, HasLabelCol, HasPredictionCol):
         return LinearRegression(featuresCol=self.getFeaturesCol(), labelCol=self.getLabelCol(),
                                 predictionCol=self.getPredictionCol(), regParam=reg, elasticNetParam=enet,
                                 standardization=False, solver=solver, maxIter=self.getOrDefault("maxIter"),
-                                tol=1e-10)
+                                tol=self.getOrDefault("tol"))
 
 
 class Ridge(_Linear):
@@ -54,10 +55,10 @@ class Ridge(_Linear):
     solver = Param(Params._dummy(), "solver", "normal or l-bfgs", typeConverter=TypeConverters.toString)
 
     @keyword_only
-    def __init__(self, *, alpha: float = 1.0, solver: str = "normal", maxIter: int = 100,
+    def __init__(self, *, alpha: float = 1.0, solver: str = "normal", maxIter: int = 100, tol: float = 1e-10,
                  featuresCol: str = "fv", labelCol: str = "price", predictionCol: str = "prediction"):
         super(_Linear, self).__init__()
-        self._setDefault(alpha=1.0, l1Ratio=0.0, maxIter=100, solver="normal", featuresCol="fv",
+        self._setDefault(alpha=1.0, l1Ratio=0.0, maxIter=100, tol=1e-10, solver="normal", featuresCol="fv",
                          labelCol="price", predictionCol="prediction")
         self._set(**self._input_kwargs)
 
