@@ -47,7 +47,7 @@ class RunConfig:
     features: FeatureConfig = field(default_factory=FeatureConfig)
     light: bool = False  # True: no text SVD block (stats ‖ structured ‖ visual)
     fit_stacker_on: str = "oof"  # "oof" or "in_sample" (the reference's choice)
-    parallelism: int = 4
+    parallelism: int = 8
     models: tuple[str, ...] | None = None  # subset of base_models() names
 
 

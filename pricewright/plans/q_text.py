@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import text as tx
 from ..operators import metrics as M
 from ..operators import select as S
+from ..operators import tfidf as T
 from ..sources.tables import catalog, train_test
 from . import sqlfrag as q
 from .registry import r6, register, with_catalog
@@ -120,13 +121,10 @@ def q_accent_fold(spark, sf):
 
 # ---- rows 17-20: tokens and n-grams, reported as term-frequency tables -----------------
 
-def _tf(df: DataFrame, terms) -> DataFrame:
-    """(sample_id, term, tf): explode then a per-(id, term) count.  The count is
-    a hash aggregate keyed by id first, so a later per-document step can reuse
-    its partitioning."""
-    return df.select("sample_id", F.explode(terms).alias("term")).groupBy("sample_id", "term").agg(
-        F.count(F.lit(1)).alias("tf")
-    )
+def _tf(df: DataFrame, analyzer: T.Analyzer) -> DataFrame:
+    """(sample_id, term, tf): counted inside each document (no shuffle for the
+    count itself; see ``operators/tfidf.term_counts``)."""
+    return T.term_counts(df, "catalog_content", analyzer)
 
 
 def _corpus(tf: DataFrame) -> DataFrame:
@@ -140,15 +138,14 @@ _TOK = q.word_tokens(q.analyzer_text("catalog_content"))
 @register("word_tokens", with_catalog(select=f"""
 select sample_id, term, count(*) tf from (select sample_id, unnest({_TOK}) term from catalog) group by all"""))
 def q_word_tokens(spark, sf):
-    return _tf(catalog(spark, sf), tx.word_tokens(tx.analyzer_text("catalog_content")))
+    return _tf(catalog(spark, sf), T.Analyzer("word", 1, 1))
 
 
 @register("stopword_filter", with_catalog(select=f"""
 select sample_id, term, count(*) tf from (select sample_id, unnest({q.remove_stop_words(_TOK)}) term from catalog)
 group by all"""))
 def q_stopword_filter(spark, sf):
-    toks = tx.remove_stop_words(tx.word_tokens(tx.analyzer_text("catalog_content")))
-    return _tf(catalog(spark, sf), toks)
+    return _tf(catalog(spark, sf), T.Analyzer("word", 1, 1, stop_words=True))
 
 
 _NG_T = q.remove_stop_words(_TOK)
@@ -162,8 +159,7 @@ select term, count(*) df, sum(tf) total from (
     select sample_id, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) term from t
   ) group by all) group by term"""))
 def q_word_ngrams(spark, sf):
-    toks = tx.remove_stop_words(tx.word_tokens(tx.analyzer_text("catalog_content")))
-    return _corpus(_tf(catalog(spark, sf), tx.word_ngrams(toks, 2)))
+    return _corpus(_tf(catalog(spark, sf), T.Analyzer("word", 1, 2, stop_words=True)))
 
 
 def char_wb_sql(text_sql: str, n_min: int, n_max: int) -> str:
@@ -182,7 +178,7 @@ def char_wb_sql(text_sql: str, n_min: int, n_max: int) -> str:
 select term, count(*) df, sum(tf) total from (select sample_id, term, count(*) tf from grams group by all)
 group by term"""))
 def q_char_wb(spark, sf):
-    return _corpus(_tf(catalog(spark, sf), tx.char_wb_ngrams(tx.analyzer_text("catalog_content"), 3, 4)))
+    return _corpus(_tf(catalog(spark, sf), T.Analyzer("char_wb", 3, 4)))
 
 
 # ---- rows 21-25, 36: text statistics -------------------------------------------------------
