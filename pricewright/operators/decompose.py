@@ -82,32 +82,23 @@ def _rows(X: DataFrame, terms: DataFrame, id_col: str) -> DataFrame:
         id_col, F.col("e.idx").alias("idx"), F.col("e.w").alias("w"))
 
 
-def _chunks(pdf, max_nnz: int = 40_000):
-    """Split a batch of documents into chunks of at most ~max_nnz non-zeros and
-    yield (row_positions, flat idx, flat w, row of each non-zero)."""
-    lens = pdf["idx"].map(len).to_numpy()
-    start, acc = 0, 0
-    for i, n in enumerate(lens):
-        acc += n
-        if acc >= max_nnz or i == len(lens) - 1:
-            sl = slice(start, i + 1)
-            ln = lens[sl]
-            if ln.sum() > 0:
-                idx = np.concatenate(pdf["idx"].iloc[sl].to_numpy()).astype(np.int64)
-                w = np.concatenate(pdf["w"].iloc[sl].to_numpy()).astype(np.float64)
-                row = np.repeat(np.arange(len(ln)), ln)
-                yield np.arange(sl.start, sl.stop), idx, w, row
-            start, acc = i + 1, 0
-
-
-def _segment_sum(values: np.ndarray, keys: np.ndarray, n: int) -> np.ndarray:
-    """Sum rows of ``values`` by sorted-or-not integer ``keys`` into n rows."""
-    order = np.argsort(keys, kind="stable")
-    sk = keys[order]
-    starts = np.flatnonzero(np.r_[True, sk[1:] != sk[:-1]])
-    out = np.zeros((n, values.shape[1]))
-    out[sk[starts]] = np.add.reduceat(values[order], starts, axis=0)
-    return out
+def _blocks(pdf, docs: int = 256):
+    """Dense blocks of a batch of documents: (row positions, term ids, D) where
+    D[i, j] is the weight of term ``uniq[j]`` in the i-th document.  Products
+    with a block are BLAS matrix products; a document lists each term once, so
+    scattering into D is exact."""
+    for s in range(0, len(pdf), docs):
+        part = pdf.iloc[s:s + docs]
+        lens = part["idx"].map(len).to_numpy()
+        if lens.sum() == 0:
+            continue
+        idx = np.concatenate(part["idx"].to_numpy()).astype(np.int64)
+        w = np.concatenate(part["w"].to_numpy()).astype(np.float64)
+        row = np.repeat(np.arange(len(part)), lens)
+        uniq, col = np.unique(idx, return_inverse=True)
+        D = np.zeros((len(part), len(uniq)))
+        D[row, col] = w
+        yield np.arange(s, s + len(part)), uniq, D
 
 
 def _pass_fn(omega_b, n_terms: int, width: int):
@@ -122,10 +113,10 @@ def _pass_fn(omega_b, n_terms: int, width: int):
         Z = np.zeros((n_terms, width))
         G = np.zeros((width, width))
         for pdf in batches:
-            for pos, idx, w, row in _chunks(pdf):
-                Y = _segment_sum(w[:, None] * omega[idx], row, len(pos))
+            for _, uniq, D in _blocks(pdf):
+                Y = D @ omega[uniq]
                 G += Y.T @ Y
-                Z += _segment_sum(w[:, None] * Y[row], idx, n_terms)
+                Z[uniq] += D.T @ Y
         touched = np.flatnonzero(np.any(Z != 0, axis=1))
         out = pd.DataFrame({"idx": np.r_[touched, -1 - np.arange(width)].astype(np.int32),
                             "z": list(Z[touched]) + list(G)})
@@ -140,15 +131,15 @@ def _one_pass(rows: DataFrame, omega: np.ndarray, n_terms: int) -> tuple[np.ndar
     ob = spark.sparkContext.broadcast(omega)
     parts = rows.mapInPandas(_pass_fn(ob, n_terms, width), "idx int, z array<double>")
     red = parts.groupBy("idx").agg(Summarizer.sum(array_to_vector("z")).alias("s"))
-    got = red.select("idx", vector_to_array("s").alias("s")).collect()  # (|vocab| + width) rows of width
+    # (|vocab| + width) rows of ``width`` doubles: the model-sized result, via Arrow
+    got = red.select("idx", vector_to_array("s").alias("s")).toPandas()
     ob.unpersist()
     Z = np.zeros((n_terms, width))
     G = np.zeros((width, width))
-    for r in got:
-        if r["idx"] >= 0:
-            Z[r["idx"]] = r["s"]
-        else:
-            G[-1 - r["idx"]] = r["s"]
+    ids = got["idx"].to_numpy()
+    vals = np.stack(got["s"].to_numpy()) if len(got) else np.zeros((0, width))
+    Z[ids[ids >= 0]] = vals[ids >= 0]
+    G[-1 - ids[ids < 0]] = vals[ids < 0]
     return Z, G
 
 
@@ -174,8 +165,8 @@ class SvdModel:
             C = cb.value
             for pdf in batches:
                 out = np.zeros((len(pdf), C.shape[1]))
-                for pos, idx, w, row in _chunks(pdf):
-                    out[pos] = _segment_sum(w[:, None] * C[idx], row, len(pos))
+                for pos, uniq, D in _blocks(pdf):
+                    out[pos] = D @ C[uniq]
                 yield pd.DataFrame({id_col: pdf[id_col], "svd": list(out)})
 
         id_type = X.schema[id_col].dataType.simpleString()
