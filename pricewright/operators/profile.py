@@ -109,6 +109,13 @@ def outlier_flags(df: DataFrame, price: str = "price", id_col: str = "sample_id"
     return df.select(id_col, price, ((p < lo) | (p > hi)).alias("outlier"))
 
 
+def correlation(x: str | Column, y: str | Column) -> Column:
+    """Pearson correlation; null when either column is constant (no division
+    by a zero spread, which ANSI mode would raise)."""
+    a, b = col_of(x), col_of(y)
+    return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
+
+
 def price_tiers(df: DataFrame, price: str = "price") -> DataFrame:
     """Quartile tiers: count and mean price per tier."""
     q = df.agg(quantiles(df, price, [0.25, 0.5, 0.75]).alias("q"))

@@ -89,12 +89,15 @@ def q_outlier_flags(spark, sf):
     return P.outlier_flags(catalog(spark, sf)).withColumn("price", r6("price"))
 
 
-@register("feature_price_correlation", with_catalog(select="""
-select round(corr(p_size, price), 6) p_size, round(corr(n_chars, price), 6) n_chars,
-  round(corr(has_visual, price), 6) has_visual, round(corr(price_raw, price), 6) price_raw from catalog"""))
+_CORR_COLS = ("p_size", "n_chars", "has_visual", "price_raw")
+_CORR_SQL = ", ".join(f"round(covar_pop({c}, price) / nullif(stddev_pop({c}) * stddev_pop(price), 0), 6) {c}"
+                      for c in _CORR_COLS)
+
+
+@register("feature_price_correlation", with_catalog(select=f"select {_CORR_SQL} from catalog"))
 def q_feature_price_correlation(spark, sf):
     cat = catalog(spark, sf)
-    return cat.agg(*[r6(F.corr(c, "price")).alias(c) for c in ("p_size", "n_chars", "has_visual", "price_raw")])
+    return cat.agg(*[r6(P.correlation(c, "price")).alias(c) for c in _CORR_COLS])
 
 
 @register("price_tiers", with_catalog(

@@ -15,7 +15,10 @@ from pyspark.sql import types as T
 from ..operators.select import feature_columns
 
 
-def visual_features(df: DataFrame, id_col: str = "sample_id", vec_col: str | None = None) -> DataFrame:
+def visual_features(df: DataFrame, id_col: str = "sample_id", vec_col: str | None = None,
+                    order_col: str | None = None) -> DataFrame:
+    """``order_col`` orders duplicates explicitly; by default the order is the
+    file order of a file-based scan (``_metadata``)."""
     if vec_col is None:
         arrays = [f.name for f in df.schema.fields if isinstance(f.dataType, T.ArrayType)]
         vec_col = arrays[0] if arrays else None
@@ -25,7 +28,8 @@ def visual_features(df: DataFrame, id_col: str = "sample_id", vec_col: str | Non
         cols = feature_columns(df, id_col)
         vec = F.array(*[F.col(c).cast("float") for c in cols])
     # file order = (file path, row index within file); both come from the scan
-    order = F.struct(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
+    order = (F.col(order_col) if order_col is not None
+             else F.struct(F.col("_metadata.file_path"), F.col("_metadata.row_index")))
     rows = df.select(F.col(id_col).cast("string").alias("sample_id"), vec.alias("features"), order.alias("_ord"))
     # partial aggregation keeps a hot duplicated id to one record per map task
     return rows.groupBy("sample_id").agg(F.max_by("features", "_ord").alias("features"))
