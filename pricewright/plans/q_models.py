@@ -289,7 +289,13 @@ def q_row_predictor_udf(spark, sf):
 
 # ---- row 6: feature cache -----------------------------------------------------------------------------
 
-@register("feature_cache")
+def _word_tfidf_sql() -> str:
+    from .q_tfidf import WORD, tfidf_ctes
+
+    return with_catalog(*tfidf_ctes("a", WORD), select="select sample_id, term, round(weight, 6) weight from a_w")
+
+
+@register("feature_cache", _word_tfidf_sql())
 def q_feature_cache(spark, sf):
     from ..operators.cache import cached
     from .q_tfidf import WORD, tfidf_all
