@@ -47,19 +47,34 @@ def project_array(x, components: np.ndarray):
 
 @dataclass
 class PcaModel:
-    components: np.ndarray  # (k, d)
+    components: np.ndarray  # (k, d), sign-normalised
     explained_variance: np.ndarray
+    spark_model: object = None  # the fitted pyspark.ml PCAModel
+    signs: np.ndarray | None = None  # flips applied to its outputs
 
     def column(self, x):
+        """Expression form (interpreted higher-order functions; small inputs)."""
         return project_array(x, self.components)
 
+    def transform(self, df: DataFrame, x, out: str) -> DataFrame:
+        """Projection by Spark ML's compiled PCA transform, then the sign flips."""
+        tmp_in, tmp_out = f"_{out}_in", f"_{out}_out"
+        d = df.withColumn(tmp_in, array_to_vector(x))
+        d = self.spark_model.copy({self.spark_model.inputCol: tmp_in,
+                                   self.spark_model.outputCol: tmp_out}).transform(d)
+        sg = F.array(*[F.lit(float(v)) for v in self.signs])
+        return d.withColumn(out, F.zip_with(vector_to_array(F.col(tmp_out)), sg, lambda a, b: a * b)).drop(
+            tmp_in, tmp_out)
+
 
 def fit_pca(df: DataFrame, col: str, k: int) -> PcaModel:
     """Principal axes of an array column (the input should already be centred)."""
     vec = df.select(array_to_vector(F.col(col)).alias("v"))
     model = PCA(k=k, inputCol="v", outputCol="p").fit(vec)
     comps = model.pc.toArray().T  # (k, d)
-    return PcaModel(_flip(comps), model.explainedVariance.toArray())
+    flipped = _flip(comps)
+    signs = np.sign(np.sum(flipped * comps, axis=1))
+    return PcaModel(flipped, model.explainedVariance.toArray(), model, signs)
 
 
 # ---- truncated SVD of a long-form sparse matrix --------------------------------------------------

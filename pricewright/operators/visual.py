@@ -52,5 +52,11 @@ class VisualBlock:
         self.pca = decompose.fit_pca(scaled, "z", self.k)
 
     def column(self, visual: str = "visual", flag: str = "has_visual_flag"):
+        """Expression form (interpreted; fine for small inputs)."""
         proj = self.pca.column(self.scaler.column(visual))
         return F.concat(proj, F.array(F.col(flag)))
+
+    def apply(self, df: DataFrame, visual: str = "visual", flag: str = "has_visual_flag", out: str = "vis"):
+        """Scaled, projected by the compiled PCA transform, flag appended."""
+        d = self.pca.transform(df, self.scaler.column(visual), "_pca")
+        return d.withColumn(out, F.concat(F.col("_pca"), F.array(F.col(flag)))).drop("_pca")

@@ -96,11 +96,9 @@ def visual_block(train: DataFrame, test: DataFrame, vis: DataFrame | None, k: in
         return None, train.withColumn("vis", one), test.withColumn("vis", one)
     dim = visual_dim(vis)
     block = VisualBlock(vis, dim, k)
-    tr = visual_join(train, vis, dim)
-    te = visual_join(test, vis, dim)
-    col = block.column()
-    return block, tr.withColumn("vis", col).drop("visual", "has_visual_flag"), \
-        te.withColumn("vis", col).drop("visual", "has_visual_flag")
+    tr = block.apply(visual_join(train, vis, dim)).drop("visual", "has_visual_flag")
+    te = block.apply(visual_join(test, vis, dim)).drop("visual", "has_visual_flag")
+    return block, tr, te
 
 
 def build_features(train: DataFrame, test: DataFrame, vis: DataFrame | None, cfg: FeatureConfig | None = None):

@@ -326,8 +326,8 @@ def q_truncated_svd(spark, sf):
 def q_visual_pca(spark, sf):
     vis = visual_features(read_table(spark, sf, "embeddings"), id_col="vec_id", vec_col="embedding")
     block = VisualBlock(vis, visual_dim(vis))
-    return vis.select("sample_id", F.transform(block.pca.column(block.scaler.column("features")),
-                                               lambda v: F.round(v, 6)).alias("pca"))
+    out = block.pca.transform(vis, block.scaler.column("features"), "pca")
+    return out.select("sample_id", F.transform("pca", lambda v: F.round(v, 6)).alias("pca"))
 
 
 @register("visual_block")
@@ -336,7 +336,7 @@ def q_visual_block(spark, sf):
     dim = visual_dim(vis)
     block = VisualBlock(vis, dim)
     items = visual_join(catalog(spark, sf).select("sample_id"), vis, dim)
-    return items.select("sample_id", F.transform(block.column(), lambda v: F.round(v, 6)).alias("vis"))
+    return block.apply(items).select("sample_id", F.transform("vis", lambda v: F.round(v, 6)).alias("vis"))
 
 
 @register("final_matrix")

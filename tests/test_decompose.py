@@ -50,3 +50,7 @@ def test_pca_matches_dense(spark):
     ref = (Z - Z.mean(axis=0)) @ vt[:8].T
     for j in range(8):
         assert min(np.abs(P[:, j] - ref[:, j]).max(), np.abs(P[:, j] + ref[:, j]).max()) < 1e-5
+    # the compiled transform gives the same scores as the expression form
+    fast = {r["sample_id"]: r["q"] for r in block.pca.transform(vis, block.scaler.column("features"), "q").collect()}
+    for r in rows:
+        assert np.allclose(fast[r["sample_id"]], r["p"], atol=1e-9)
