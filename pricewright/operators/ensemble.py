@@ -87,7 +87,7 @@ def best_by_score(scores: DataFrame, order_col: str = "position") -> DataFrame:
 
 
 def tune(est: Estimator, grid_param, values: list[float], train: DataFrame, fold_col: str = "cv_fold",
-         parallelism: int = 4, k: int = 5):
+         parallelism: int = 8, k: int = 5):
     """CrossValidator over the given fold column scored by SMAPE; refits the
     best setting on all rows (rows 80-82)."""
     grid = ParamGridBuilder().addGrid(grid_param, values).build()

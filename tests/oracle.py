@@ -26,7 +26,8 @@ def _norm(v, digits=6):
         if math.isinf(v):
             return "inf" if v > 0 else "-inf"
         r = round(v, digits)
-        return 0.0 if r == 0 else r
+        # keep the sign of zero: a byte-level value hash tells -0.0 from 0.0
+        return "-0.0" if r == 0 and math.copysign(1.0, r) < 0 else r
     if hasattr(v, "tolist"):
         v = v.tolist()
     if isinstance(v, (list, tuple)):
