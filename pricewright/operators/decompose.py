@@ -89,9 +89,12 @@ def _rows(X: DataFrame, terms: DataFrame, id_col: str) -> DataFrame:
     """One row per document: (id, idx array, value array).
 
     The explicit partition count keeps the CPU-bound passes spread over the
-    cluster (AQE would merge a small shuffle into one task)."""
+    cluster (AQE would merge a small shuffle into one task).  It is capped at
+    the cluster's core count: a pass cannot use more partitions at once, and
+    every partition sends one partial (touched terms × width) to the reduce."""
     t = F.broadcast(terms)  # bounded by the vocabulary cap (checked by the caller)
-    n = int(X.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spark = X.sparkSession
+    n = min(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     j = X.join(t, "term").select(id_col, "idx", F.col("weight").cast("double").alias("w")).repartition(n, id_col)
     return j.groupBy(id_col).agg(F.collect_list(F.struct("idx", "w")).alias("e")).select(
         id_col, F.col("e.idx").alias("idx"), F.col("e.w").alias("w"))
