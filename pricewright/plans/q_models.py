@@ -384,8 +384,17 @@ def q_pluggable_model(spark, sf):
     return E.oof_scores(oof)
 
 
+_STACKED: dict = {}
+
+
 def _stacked(spark, sf) -> dict:
-    return PL.run_stacked(spark, sf, CHECK)
+    """One stacked run per (application, data folder): the three queries that
+    report on it share it.  Its outputs are reliable checkpoints, valid for the
+    whole session; the inputs are read-only tables."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _STACKED:
+        _STACKED[key] = PL.run_stacked(spark, sf, CHECK)
+    return _STACKED[key]
 
 
 @register("base_model_registry")
