@@ -2,16 +2,13 @@
 
 Every function returns a ``Column`` built from Spark's built-in functions and
 higher-order functions, so the work stays in the JVM (no Python UDF).  Each
-one has a DuckDB twin in ``plans/oracle.py`` that the correctness check runs.
+one has a DuckDB twin in ``plans/sqlfrag.py`` that the correctness check runs.
 """
 
 from __future__ import annotations
 
 import functools
-import glob
-import os
 import unicodedata
-import zipfile
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -95,15 +92,24 @@ def word_tokens(c: str | Column) -> Column:
     return F.regexp_extract_all(col_of(c), F.lit(WORD_TOKEN), 0)
 
 
-@functools.lru_cache(maxsize=None)
-def spark_stop_words(language: str = "english") -> tuple[str, ...]:
-    """Spark ML's default stop-word list, read from the MLlib jar (no JVM)."""
-    import pyspark
-
-    jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
-    with zipfile.ZipFile(jars[0]) as z:
-        raw = z.read(f"org/apache/spark/ml/feature/stopwords/{language}.txt").decode("utf-8")
-    return tuple(w.strip() for w in raw.splitlines() if w.strip())
+# The English list that Spark ML's StopWordsRemover loads by default,
+# in its order (tests compare the two).
+STOP_WORDS_ENGLISH = tuple("""
+i me my myself we our ours ourselves you your yours yourself yourselves he him his himself she her hers
+herself it its itself they them their theirs themselves what which who whom this that these those am is are
+was were be been being have has had having do does did doing a an the and but if or because as until while
+of at by for with about against between into through during before after above below to from up down in out
+on off over under again further then once here there when where why how all any both each few more most
+other some such no nor not only own same so than too very s t can will just don should now i'll you'll he'll
+she'll we'll they'll i'd you'd he'd she'd we'd they'd i'm you're he's she's it's we're they're i've we've
+you've they've isn't aren't wasn't weren't haven't hasn't hadn't don't doesn't didn't won't wouldn't shan't
+shouldn't mustn't can't couldn't cannot could here's how's let's ought that's there's what's when's where's
+who's why's would
+""".split())
+
+
+def spark_stop_words() -> tuple[str, ...]:
+    return STOP_WORDS_ENGLISH
 
 
 def remove_stop_words(tokens: Column, stop_words: tuple[str, ...] | None = None) -> Column:
