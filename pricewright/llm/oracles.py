@@ -64,3 +64,36 @@ select doc_id, size, crc as text_crc32, 'bytes' as law, shard,
        (n - min(n) over (partition by shard))::bigint as slot, null::int as grown_shard
 from placed join crcs using (k)
 """
+
+DECONTAMINATION = r"""
+with doc_words as (
+  select row_number() over () as r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from documents
+), item_words as (
+  select coalesce(item_id::varchar, '') as item,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from benchmark
+), item_windows as (
+  select distinct item, m, array_to_string(w[i:i + m - 1], ' ') as win
+  from (select item, w, least(13, len(w)) as m, unnest(range(1, len(w) - least(13, len(w)) + 2)) as i
+        from item_words where len(w) > 0)
+), doc_windows as (
+  select r, m, s, array_to_string(w[s:s + m - 1], ' ') as win
+  from (select r, w, m, unnest(range(1, len(w) - m + 2)) as s
+        from doc_words, (select distinct m from item_windows) where len(w) >= m)
+), hits as (
+  select r, s, m, item from doc_windows join item_windows using (m, win)
+), hit_words as (
+  select r, count(distinct p) as n from (select r, unnest(range(s, s + m)) as p from (select distinct r, s, m from hits))
+  group by r
+), hit_items as (
+  select r, list_sort(list(distinct item)) as items from hits group by r
+)
+select doc_id, len(w)::bigint as n_words, coalesce(n, 0)::bigint as n_hit,
+       coalesce(len(items), 0)::bigint as n_items, sha256(coalesce(array_to_string(items, ','), '')) as items_sha256,
+       coalesce(n, 0) > 0 and 20 * coalesce(n, 0) >= len(w) as contaminated
+from doc_words left join hit_words using (r) left join hit_items using (r)
+"""

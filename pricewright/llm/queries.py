@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import oracles
 from .common import table
+from .decontam import contamination_digest
 from .langid import langid_digest
 from .mixing import mix_digest
 from .sharding import shard_digest
@@ -21,11 +22,14 @@ def on_documents(digest: Callable[[DataFrame], DataFrame]) -> QueryFn:
 
 QUERIES: dict[str, QueryFn] = {
     "op1_language_id": on_documents(langid_digest),
+    "op2_decontamination": lambda spark, sf_dir: contamination_digest(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")),
     "op8_mixing": on_documents(mix_digest),
     "op10_sharding": on_documents(shard_digest),
 }
 
 ORACLE: dict[str, str] = {
+    "op2_decontamination": oracles.DECONTAMINATION,
     "op8_mixing": oracles.MIXING,
     "op10_sharding": oracles.SHARDING,
 }
