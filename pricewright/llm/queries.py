@@ -12,6 +12,8 @@ from .decontam import contamination_digest
 from .langid import langid_digest
 from .mixing import mix_digest
 from .sharding import shard_digest
+from .syncmers import fingerprint_digest
+from .tokencount import token_digest
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +26,8 @@ QUERIES: dict[str, QueryFn] = {
     "op1_language_id": on_documents(langid_digest),
     "op2_decontamination": lambda spark, sf_dir: contamination_digest(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")),
+    "op3_token_counts": on_documents(token_digest),
+    "op4_fingerprints": on_documents(fingerprint_digest),
     "op8_mixing": on_documents(mix_digest),
     "op10_sharding": on_documents(shard_digest),
 }

@@ -34,7 +34,7 @@ def byte_size() -> Column:
     return (F.octet_length(filled()) + 1).cast("long")
 
 
-def _range_of(splitters: list[tuple[str, int]]):
+def range_of(splitters: list[tuple[str, int]]):
     @F.pandas_udf("int")
     def find(key: pd.Series, tie: pd.Series) -> pd.Series:
         return pd.Series([bisect_right(splitters, kt) for kt in zip(key, tie)], dtype="int32")
@@ -42,25 +42,25 @@ def _range_of(splitters: list[tuple[str, int]]):
     return find(F.col("__key"), F.col("__tie"))
 
 
-def _sample(rows: DataFrame, n: int) -> list[tuple[str, int]]:
+def size_weighted_sample(rows: DataFrame, n: int) -> list[tuple[str, int]]:
     """n keys drawn by size without replacement: the n first arrivals of an
     exponential race whose rates are the sizes."""
-    u = (uniform(SEED, F.col("__key"), F.col("__tie").cast("string")) + F.lit(2.0**-53))
+    u = (uniform(SEED, F.col("__key").cast("string"), F.col("__tie").cast("string")) + F.lit(2.0**-53))
     first = rows.select("__key", "__tie", (-F.log(u) / F.col("__size")).alias("__at"))
     first = first.orderBy("__at", "__key", "__tie").limit(n)
     return sorted({(r["__key"], r["__tie"]) for r in first.select("__key", "__tie").collect()})
 
 
-def _quantiles(keys: list, n: int) -> list:
+def quantiles(keys: list, n: int) -> list:
     return sorted({keys[len(keys) * i // n] for i in range(1, n)}) if keys else []
 
 
 def splitters_for(rows: DataFrame, n_ranges: int) -> tuple[list[tuple[str, int]], list[tuple[int, int]]]:
     """Boundaries, and (bytes, rows) of each range.  All that reaches the driver
     is bounded by the number of ranges."""
-    bounds = _quantiles(_sample(rows, n_ranges * KEYS_PER_RANGE), n_ranges)
+    bounds = quantiles(size_weighted_sample(rows, n_ranges * KEYS_PER_RANGE), n_ranges)
     for left in reversed(range(ROUNDS)):
-        placed = rows.withColumn("__range", _range_of(bounds))
+        placed = rows.withColumn("__range", range_of(bounds))
         found = {r["__range"]: r for r in placed.groupBy("__range").agg(
             F.sum("__size").alias("b"), F.count("*").alias("n"),
             F.min(F.struct("__key", "__tie")).alias("lo"), F.max(F.struct("__key", "__tie")).alias("hi")).collect()}
@@ -69,11 +69,11 @@ def splitters_for(rows: DataFrame, n_ranges: int) -> tuple[list[tuple[str, int]]
         if not over or not left:
             break
         inside = placed.filter(F.col("__range").isin(list(over)))
-        keys = _sample(inside, n_ranges * KEYS_PER_RANGE)
+        keys = size_weighted_sample(inside, n_ranges * KEYS_PER_RANGE)
         more = set()
         for k, r in over.items():
             own = [x for x in keys if bisect_right(bounds, x) == k and x > tuple(r["lo"])]
-            more |= set(_quantiles([tuple(r["lo"]), *own], int(r["b"] // share) + 1)) - {tuple(r["lo"])}
+            more |= set(quantiles([tuple(r["lo"]), *own], int(r["b"] // share) + 1)) - {tuple(r["lo"])}
             more |= {own[0]} if own else set()
         if not more:
             break
@@ -101,7 +101,7 @@ def shard(docs: DataFrame, n_shards: int, size: Column | None = None, key: Colum
         at_b, at_n = at_b + b, at_n + n
     start = spark.createDataFrame(offsets, "__range int, __bytes0 long, __rows0 long")  # one row a range
     order = Window.partitionBy("__range").orderBy("__key", "__tie", "__row")
-    placed = (keyed.withColumn("__range", _range_of(bounds))
+    placed = (keyed.withColumn("__range", range_of(bounds))
               .withColumn("__before", F.sum("__size").over(order.rowsBetween(Window.unboundedPreceding, -1)))
               .withColumn("__n", F.row_number().over(order) - 1)
               .join(F.broadcast(start), "__range")
@@ -125,7 +125,7 @@ def _shard_rows(narrow: DataFrame, bounds, offsets, n_shards: int, total: int) -
     start = narrow.sparkSession.createDataFrame(offsets, "__range int, __bytes0 long, __rows0 long")
     order = Window.partitionBy("__range").orderBy("__key", "__tie").rowsBetween(Window.unboundedPreceding, -1)
     mid = 2 * (F.coalesce(F.sum("__size").over(order), F.lit(0)) + F.col("__bytes0")) + F.col("__size")
-    placed = narrow.withColumn("__range", _range_of(bounds)).join(F.broadcast(start), "__range").withColumn("__mid", mid)
+    placed = narrow.withColumn("__range", range_of(bounds)).join(F.broadcast(start), "__range").withColumn("__mid", mid)
     shard_no = F.least(F.lit(n_shards - 1), F.expr(f"__mid * {n_shards} div {max(1, 2 * total)}")).cast("int")
     return {r["s"]: r["n"] for r in placed.groupBy(shard_no.alias("s")).agg(F.count("*").alias("n")).collect()}
 
