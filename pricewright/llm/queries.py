@@ -11,6 +11,7 @@ from .common import table
 from .decontam import contamination_digest
 from .langid import langid_digest
 from .mixing import mix_digest
+from .neardup import duplicate_digest
 from .sharding import shard_digest
 from .syncmers import fingerprint_digest
 from .tokencount import token_digest
@@ -28,6 +29,7 @@ QUERIES: dict[str, QueryFn] = {
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")),
     "op3_token_counts": on_documents(token_digest),
     "op4_fingerprints": on_documents(fingerprint_digest),
+    "op5_near_duplicates": on_documents(duplicate_digest),
     "op8_mixing": on_documents(mix_digest),
     "op10_sharding": on_documents(shard_digest),
 }
