@@ -12,9 +12,11 @@ from .decontam import contamination_digest
 from .langid import langid_digest
 from .mixing import mix_digest
 from .neardup import duplicate_digest
+from .quality import quality_digest
 from .sharding import shard_digest
 from .syncmers import fingerprint_digest
 from .tokencount import token_digest
+from .toxicity import toxicity_digest
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +25,10 @@ def on_documents(digest: Callable[[DataFrame], DataFrame]) -> QueryFn:
     return lambda spark, sf_dir: digest(table(spark, sf_dir, "documents"))
 
 
+def on_labelled(digest: Callable[[DataFrame, DataFrame], DataFrame]) -> QueryFn:
+    return lambda spark, sf_dir: digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, QueryFn] = {
     "op1_language_id": on_documents(langid_digest),
     "op2_decontamination": lambda spark, sf_dir: contamination_digest(
@@ -30,7 +36,9 @@ QUERIES: dict[str, QueryFn] = {
     "op3_token_counts": on_documents(token_digest),
     "op4_fingerprints": on_documents(fingerprint_digest),
     "op5_near_duplicates": on_documents(duplicate_digest),
+    "op7_toxicity": on_labelled(toxicity_digest),
     "op8_mixing": on_documents(mix_digest),
+    "op9_quality": on_labelled(quality_digest),
     "op10_sharding": on_documents(shard_digest),
 }
 
