@@ -30,7 +30,8 @@ def sample(docs: DataFrame, labels: DataFrame, target: str, held: int, mod: int,
     return sorted(rows, key=lambda r: r["doc_id"]), totals
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float, intercept: bool = True, steps: int = 50) -> np.ndarray:
+def logistic(x: np.ndarray, y: np.ndarray, ridge: float, intercept: bool = True, steps: int = 50,
+             weight: np.ndarray | float = 1.0) -> np.ndarray:
     """Ridge-penalised logistic weights (the intercept last) by Newton's method."""
     if intercept:
         x = np.concatenate([x, np.ones((len(x), 1))], axis=1)
@@ -40,8 +41,8 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float, intercept: bool = True,
     w = np.zeros(x.shape[1])
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        h = (x * (p * (1 - p) + 1e-9)[:, None]).T @ x + np.diag(penalty)
-        move = np.linalg.solve(h, x.T @ (p - y) + penalty * w)
+        h = (x * (weight * p * (1 - p) + 1e-9)[:, None]).T @ x + np.diag(penalty)
+        move = np.linalg.solve(h, x.T @ (weight * (p - y)) + penalty * w)
         w = w - move
         if np.abs(move).max() < 1e-9:
             break

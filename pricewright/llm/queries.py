@@ -13,6 +13,7 @@ from .langid import langid_digest
 from .mixing import mix_digest
 from .neardup import duplicate_digest
 from .quality import quality_digest
+from .secret_scan import secret_digest
 from .sharding import shard_digest
 from .syncmers import fingerprint_digest
 from .tokencount import token_digest
@@ -36,6 +37,7 @@ QUERIES: dict[str, QueryFn] = {
     "op3_token_counts": on_documents(token_digest),
     "op4_fingerprints": on_documents(fingerprint_digest),
     "op5_near_duplicates": on_documents(duplicate_digest),
+    "op6_secret_scan": on_documents(secret_digest),
     "op7_toxicity": on_labelled(toxicity_digest),
     "op8_mixing": on_documents(mix_digest),
     "op9_quality": on_labelled(quality_digest),

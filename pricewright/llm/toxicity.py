@@ -36,7 +36,10 @@ from .labelling import logistic, sample
 WORD = re.compile(r"[^\W\d_]+")
 WINDOW, STRIDE, TOP = 32, 16, 4
 DIM, HIDDEN, ATTENTION = 8, 8, 8
-ROWS = 1 << 15  # of each hashed table
+ROWS = 1 << 20  # hash values of words, and of parts
+#: A word or part that fewer sample documents hold has no vector of its own, so
+#: that it can't be learned by heart.
+MIN_DOCS = 4
 PAD = 0
 HIGHEST = 8  # window logits of a document that its features use
 HELD = 200_000
@@ -80,10 +83,14 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 class Network:
     """Weights, and the forward pass over word indices."""
 
-    def __init__(self, seed: int = 7):
+    def __init__(self, n_words: int = 0, n_parts: int = 0, seed: int = 7):
+        """Vectors for so many words and parts; row 0 stays zero, for all others."""
         g = np.random.default_rng(seed)
         f = lambda *shape, by: (g.standard_normal(shape) * by).astype(np.float32)
-        self.word, self.part = f(ROWS, DIM, by=0.1), f(ROWS, DIM, by=0.1)
+        self.word, self.part = f(n_words + 1, DIM, by=0.01), f(n_parts + 1, DIM, by=0.01)
+        self.word[0] = self.part[0] = 0
+        #: row of each hash value
+        self.word_row, self.part_row = np.zeros(ROWS, np.int32), np.zeros(ROWS, np.int32)
         self.p = {}
         for d in ("f", "b"):
             self.p[f"W{d}"] = f(2 * DIM, 3 * HIDDEN, by=0.3)
@@ -94,8 +101,8 @@ class Network:
 
     def inputs(self, own: np.ndarray, parts: np.ndarray, there: np.ndarray) -> np.ndarray:
         """Input vector of each word, from its rows."""
-        mean = np.einsum("wpd,wp->wd", self.part[parts], there / there.sum(axis=1, keepdims=True))
-        return np.concatenate([self.word[own], mean], axis=1)
+        mean = np.einsum("wpd,wp->wd", self.part[self.part_row[parts]], there / there.sum(axis=1, keepdims=True))
+        return np.concatenate([self.word[self.word_row[own]], mean], axis=1)
 
     def gates(self, x: np.ndarray) -> np.ndarray:
         return np.concatenate([x @ self.p["Wf"] + self.p["bf"], x @ self.p["Wb"] + self.p["bb"]], axis=1)
@@ -284,23 +291,32 @@ def summaries(net: Network, known: Words, texts: list[str]) -> list[Summary]:
 
 
 def train(texts: list[str], labels: list[int], steps: int = 500, batch: int = 32, rate: float = 0.01, seed: int = 7) -> Model:
-    net = Network(seed)
     y = np.array(labels, float)
     share = float(y.mean()) if len(y) else 0.0
     if len(set(labels)) < 2:
         w = np.zeros(8)
         w[-1] = np.log(share / (1 - share)) if 0 < share < 1 else (30 if share else -30)
-        return Model(net, w, np.zeros(7), np.ones(7))
+        return Model(Network(), w, np.zeros(7), np.ones(7))
     # words of the sample by index (0: padding), with their rows in padded form
     index: dict[str, int] = {}
     docs = []
     for t in texts:
         ws = [w for part in words_of(t) for w in part]
         docs.append(windows(np.fromiter((index.setdefault(w, len(index) + 1) for w in ws), np.int32, len(ws))))
-    own_rows, part_rows, there = word_rows(list(index))
+    own_hash, part_hash, there = word_rows(list(index))
+    # documents that hold each word and part; equal texts count once
+    in_words, in_parts = np.zeros(ROWS, np.int32), np.zeros(ROWS, np.int32)
+    for k in {t: k for k, t in enumerate(texts)}.values():
+        at = np.unique(docs[k][docs[k] != PAD]) - 1
+        in_words[np.unique(own_hash[at])] += 1
+        in_parts[np.unique(part_hash[at][there[at] > 0])] += 1
+    common, common_parts = np.flatnonzero(in_words >= MIN_DOCS), np.flatnonzero(in_parts >= MIN_DOCS)
+    net = Network(len(common), len(common_parts), seed)
+    net.word_row[common], net.part_row[common_parts] = np.arange(1, len(common) + 1), np.arange(1, len(common_parts) + 1)
+    own_rows, part_rows = net.word_row[own_hash], net.part_row[part_hash]
     g = np.random.default_rng(seed)
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.p.items()}
-    seen_word, seen_part = (np.full(ROWS, 1e-2, np.float32) for _ in range(2))
+    seen_word, seen_part = (np.full(len(v), 1e-2, np.float32) for v in (net.word, net.part))
     heavy = 0.3 / share, 0.7 / (1 - share)  # toxic documents count as three in ten
     step = 0
     while step < steps:
@@ -315,7 +331,7 @@ def train(texts: list[str], labels: list[int], steps: int = 500, batch: int = 32
             if len(used) == 1:
                 continue
             at_word = used[1:] - 1
-            x = net.inputs(own_rows[at_word], part_rows[at_word], there[at_word])
+            x = net.inputs(own_hash[at_word], part_hash[at_word], there[at_word])
             table = np.concatenate([net.pad_gates(), net.gates(x)])
             logit = net.logits(table, win)
             starts = np.concatenate([[0], np.cumsum([len(docs[k]) for k in chosen])])
@@ -359,7 +375,7 @@ def train(texts: list[str], labels: list[int], steps: int = 500, batch: int = 32
     known = Words(net)
     f = np.array([s.features() for s in summaries(net, known, texts)])
     mean, spread = f.mean(axis=0), f.std(axis=0) + 1e-6
-    return Model(net, logistic((f - mean) / spread, y, ridge=1e-3), mean, spread)
+    return Model(net, logistic((f - mean) / spread, y, ridge=1e-3, weight=np.where(y == 1, 2.5, 1.0)), mean, spread)
 
 
 def _adagrad(table: np.ndarray, seen: np.ndarray, rows: np.ndarray, grad: np.ndarray, rate: float = 0.1) -> None:
@@ -368,11 +384,12 @@ def _adagrad(table: np.ndarray, seen: np.ndarray, rows: np.ndarray, grad: np.nda
     np.add.at(total, inverse, grad)
     seen[uniq] += (total * total).mean(axis=1)
     table[uniq] -= rate * total / np.sqrt(seen[uniq])[:, None]
+    table[0] = 0
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """``__score`` beside the columns of the documents."""
-    held = docs.sparkSession.sparkContext.broadcast(model)  # about 2 MB
+    held = docs.sparkSession.sparkContext.broadcast(model)  # some MB: bounded by the sample
 
     @F.pandas_udf("double")
     def run(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
