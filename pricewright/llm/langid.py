@@ -105,41 +105,52 @@ class Model:
             total = np.array([totals[name].get(x, 0) for x in langs], float)
             counts[part] = np.log((counts[part] + 0.5) / (total + 0.5 * max(1, kinds)))
         self.table = counts
-        self.cache: dict[str, np.ndarray | None] = {}
-
-    def unseen(self, word: str) -> np.ndarray | None:
-        """Backoff; None when not even a letter is known."""
-        if word in self.cache:
-            return self.cache[word]
-        if len(self.cache) > HELD:
-            self.cache.clear()
-        out = None
+
+    def row(self, word: str) -> np.ndarray:
+        """A word's log frequencies: its own, or by backoff; zeros when not even
+        a letter of it is known."""
+        if word in self.words:
+            return self.table[self.words[word]]
         for n in GRAM_LENGTHS:
             known = [self.grams[g] for g in grams(word, n) if g in self.grams]
             if known:
-                out = self.table[known].mean(axis=0)
-                break
-        self.cache[word] = out
-        return out
-
-    def predict(self, text: str | None) -> tuple[str, float]:
-        counts = word_counts(text) if text else {}
-        if not self.langs or not has_letter(counts):
-            return "und", 0.0
-        sums = np.zeros(len(self.langs))
-        known = [(self.words[w], n) for w, n in counts.items() if w in self.words]
-        if known:
-            idx, n = zip(*known)
-            sums += np.array(n, float) @ self.table[list(idx)]
-        for w, n in counts.items():
-            if w not in self.words and (s := self.unseen(w)) is not None:
-                sums += n * s
-        p = np.exp(sums - sums.max())
-        best = int(np.argmax(p))  # the first of equals; languages are in order
-        return self.langs[best], round(float(p[best] / p.sum()), 9)
-
-
-def fit(labelled: DataFrame, docs_per_lang: int = 4000, max_words: int = 100_000, max_grams: int = 100_000,
+                return self.table[known].mean(axis=0)
+        return np.zeros(len(self.langs))
+
+
+class Rows(dict):
+    """Row numbers of words in a growing table, in a task."""
+
+    def __init__(self, model: Model):
+        super().__init__()
+        self.model, self.table = model, np.zeros((1024, len(model.langs)))
+
+    def __missing__(self, word: str) -> int:
+        k = self[word] = len(self)
+        if k == len(self.table):
+            self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+        self.table[k] = self.model.row(word)
+        return k
+
+
+def predict(rows: Rows, text: str | None) -> tuple[str, float]:
+    langs = rows.model.langs
+    sums, letters = np.zeros(len(langs)), False
+    for part in slices(text or ""):
+        if len(rows) > HELD:
+            rows.clear()
+        found = WORD.findall(part.lower())
+        letters = letters or has_letter(found)
+        idx = np.fromiter(map(rows.__getitem__, found), np.int64, len(found))
+        sums += rows.table[idx].sum(axis=0)
+    if not langs or not letters:
+        return "und", 0.0
+    p = np.exp(sums - sums.max())
+    best = int(np.argmax(p))  # the first of equals; languages are in order
+    return langs[best], round(float(p[best] / p.sum()), 9)
+
+
+def fit(labelled: DataFrame, docs_per_lang: int = 4000, max_words: int = 50_000, max_grams: int = 60_000,
         max_langs: int = 1000) -> Model:
     """Learns from columns ``text`` and ``lang`` (and ``doc_id`` for the sample)."""
     rows = labelled.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text", "lang")
@@ -176,12 +187,12 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     held = docs.sparkSession.sparkContext.broadcast(model)  # bounded by max_words and max_grams
 
     @F.pandas_udf("lang string, score double")
-    def predict(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        m = held.value
+    def run(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        rows = Rows(held.value)
         for t in texts:
-            yield pd.DataFrame([m.predict(x) for x in t], columns=["lang", "score"])
+            yield pd.DataFrame([predict(rows, x) for x in t], columns=["lang", "score"])
 
-    return docs.withColumn("__found", predict(F.col("text").cast("string"))) \
+    return docs.withColumn("__found", run(F.col("text").cast("string"))) \
                .withColumns({"__lang": F.col("__found.lang"), "__score": F.col("__found.score")}).drop("__found")
 
 
