@@ -27,13 +27,11 @@ def make_counter(kind: str, ngram_min: int, ngram_max: int, stop_words: tuple[st
     import regex
 
     word_re = regex.compile(tx.WORD_TOKEN)
-    src, dst = tx.accent_table()
-    table = str.maketrans(src, dst) if strip_accents else None
     stop = frozenset(stop_words or ())
 
     def analyze(t: str) -> str:
         t = (t or "").lower()
-        return t.translate(table) if table is not None else t
+        return tx.fold_accents(t) if strip_accents else t
 
     def char_wb(t: str) -> Counter:
         # str.split() splits on exactly the whitespace class WS of text.py

@@ -1,7 +1,7 @@
 """Text expressions: clean-up, tokens, n-grams and text statistics.
 
 Every function returns a ``Column`` built from Spark's built-in functions and
-higher-order functions, so the work stays in the JVM (no Python UDF).  Each
+higher-order functions, so the work stays in the JVM (but for accents).  Each
 one has a DuckDB twin in ``plans/sqlfrag.py`` that the correctness check runs.
 """
 
@@ -10,8 +10,10 @@ from __future__ import annotations
 import functools
 import unicodedata
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Whitespace as Python's ``str.split()`` / ``re`` ``\s`` see it (ASCII space
 # class, Unicode separators, the four information separators and NEL).
@@ -62,11 +64,17 @@ def preprocess(c: str | Column) -> Column:
     return F.trim(F.regexp_replace(unit_normalize(lowered), WS + "+", " "))
 
 
+def fold_accents(s: str) -> str:
+    """Compatibility decomposition without its combining marks, any script."""
+    if s.isascii():
+        return s
+    return "".join(c for c in unicodedata.normalize("NFKD", s) if not unicodedata.combining(c))
+
+
 @functools.lru_cache(maxsize=1)
 def accent_table() -> tuple[str, str]:
-    """(from, to) strings for ``translate``: every Latin letter whose NFKD form
-    minus combining marks is a single character.  Generated from the Unicode
-    database, not typed in."""
+    """(from, to) strings for DuckDB's ``translate``: every Latin letter whose
+    folded form is a single character.  Generated from the Unicode database."""
     src, dst = [], []
     for cp in list(range(0x00C0, 0x0250)) + list(range(0x1E00, 0x1F00)):
         ch = chr(cp)
@@ -78,8 +86,16 @@ def accent_table() -> tuple[str, str]:
 
 
 def strip_accents(c: str | Column) -> Column:
-    src, dst = accent_table()
-    return F.translate(col_of(c), src, dst)
+    """Accents folded (``fold_accents``).  Spark has no normalization function, so
+    texts that are not ASCII go through an Arrow-batched UDF; others do not."""
+    x = col_of(c)
+    ascii_only = F.octet_length(x) == F.char_length(x)
+
+    @F.pandas_udf(T.StringType())
+    def fold(s: pd.Series) -> pd.Series:
+        return s.map(fold_accents, na_action="ignore")
+
+    return F.when(ascii_only, x).otherwise(fold(F.when(~ascii_only, x)))
 
 
 def analyzer_text(c: str | Column, accents: bool = True) -> Column:

@@ -44,12 +44,16 @@ def fetch_status(links: DataFrame, manifest: DataFrame, url_col: str = "image_li
 
 
 def link_counts(links: DataFrame, manifest: DataFrame, url_col: str = "image_link") -> DataFrame:
-    """usable / null / already fetched / left to retry, in one aggregate."""
+    """usable / null / already fetched / left to retry.  Links are counted by
+    file name before the join (null ones too, which match nothing), so a hot
+    link is one row of it."""
     stored = manifest.select("filename").distinct().withColumn("_stored", F.lit(1))
-    j = with_filename(links.select(url_col), url_col).join(stored, "filename", "left")
+    counted = with_filename(links.select(url_col), url_col).groupBy("filename").agg(
+        F.count(url_col).alias("usable"), F.sum(F.col(url_col).isNull().cast("long")).alias("null_links"))
+    j = counted.join(stored, "filename", "left")
     return j.agg(
-        F.count(F.col(url_col)).alias("usable"),
-        F.sum(F.col(url_col).isNull().cast("long")).alias("null_links"),
-        F.sum(F.when(F.col(url_col).isNotNull() & F.col("_stored").isNotNull(), 1).otherwise(0)).alias("fetched"),
-        F.sum(F.when(F.col(url_col).isNotNull() & F.col("_stored").isNull(), 1).otherwise(0)).alias("to_retry"),
+        F.coalesce(F.sum("usable"), F.lit(0)).alias("usable"),
+        F.sum("null_links").alias("null_links"),
+        F.sum(F.when(F.col("_stored").isNotNull(), F.col("usable")).otherwise(0)).alias("fetched"),
+        F.sum(F.when(F.col("_stored").isNull(), F.col("usable")).otherwise(0)).alias("to_retry"),
     )

@@ -11,8 +11,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -26,8 +25,13 @@ def fingerprint(params, inputs: DataFrame) -> str:
 def cached(root: str, name: str, params, inputs: DataFrame, compute: Callable[[], DataFrame]) -> DataFrame:
     spark = inputs.sparkSession
     path = f"{root.rstrip('/')}/{name}-{fingerprint(params, inputs)}"
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
+    if not committed(spark, path):
         compute().write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
+    return spark.read.parquet(path)
+
+
+def committed(spark: SparkSession, path: str) -> bool:
+    """Whether a write to the folder ended: Spark leaves a marker when it commits.
+    A missing or partly written folder is a miss; any other failure is raised."""
+    marker = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker)

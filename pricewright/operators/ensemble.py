@@ -90,7 +90,8 @@ def tune(est: Estimator, grid_param, values: list[float], train: DataFrame, fold
          parallelism: int = 8, k: int = 5):
     """CrossValidator over the given fold column scored by SMAPE; refits the
     best setting on all rows (rows 80-82)."""
-    grid = ParamGridBuilder().addGrid(grid_param, values).build()
+    # the estimator's own parameter: a class attribute belongs to no instance and would be ignored
+    grid = ParamGridBuilder().addGrid(est.getParam(grid_param.name), values).build()
     cv = CrossValidator(estimator=est, estimatorParamMaps=grid, evaluator=SmapeEvaluator(),
                         foldCol=fold_col, numFolds=k, parallelism=parallelism)
     m = cv.fit(train)

@@ -1,9 +1,8 @@
 """Catalogue extraction and profiling (rows 36-40, 92-96).
 
 The reference describes these only in prose; the definitions are ours and are
-stated in each function.  All are single-pass aggregates or per-row
-expressions; quantiles are exact while the distinct count is bounded and come
-from a quantile sketch beyond it (``scale.quantiles``).
+stated in each function.  All are aggregates or per-row expressions; quantiles
+are exact at every size (``quantiles.exact_quantiles``).
 """
 
 from __future__ import annotations
@@ -12,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import col_of
-from .scale import quantiles
+from .quantiles import exact_quantiles
 
 # Fixed values (our definitions): unit words and the base unit each maps to,
 # with the factor to that base unit.
@@ -29,6 +28,11 @@ UNIT_BASE = {
 # accented letters
 QTY_PATTERN = (r"(\d+(?:\.\d+)?)\s*(" + "|".join(sorted(UNIT_BASE, key=len, reverse=True))
                + r")(?:[^\p{L}\p{N}_]|$)")
+# "pack of 6", "pack: 6", "6 pack", "6-pack", "6 ct", "6 count"
+PACK_OF = r"(?:pack|case|set)\s*(?:of|:)\s*(\d+)"
+PACK_COUNT = r"(\d+)\s*-?\s*(?:pack|ct|count)(?:[^\p{L}\p{N}_]|$)"
+# a key of any length, a colon with white space after it, a value
+KEY_VALUE = r"^\s*([^:\s](?:[^:]*[^:\s])?)\s*:\s+(\S(?:[\s\S]*\S)?)\s*$"
 
 # Fixed values (our definitions): keyword lists of the category flags.
 CATEGORY_WORDS = {
@@ -40,7 +44,8 @@ CATEGORY_WORDS = {
 
 def extract_quantity(text: str | Column) -> list[Column]:
     """First ``<number> <unit>`` in the lowercased text: value, unit, value in
-    the base unit (g, ml or count)."""
+    the base unit (g, ml or count); and the pack size (``pack of <n>``, else
+    ``<n> pack``)."""
     t = F.lower(col_of(text))
     val = F.regexp_extract(t, QTY_PATTERN, 1)
     unit = F.regexp_extract(t, QTY_PATTERN, 2)
@@ -48,7 +53,13 @@ def extract_quantity(text: str | Column) -> list[Column]:
     fac = F.create_map(*[x for k, (_, f) in UNIT_BASE.items() for x in (F.lit(k), F.lit(f))])
     v = F.when(val != "", val.cast("double"))
     return [v.alias("qty_value"), F.when(unit != "", unit).alias("qty_unit"),
-            F.element_at(base, unit).alias("base_unit"), (v * F.element_at(fac, unit)).alias("qty_base")]
+            F.element_at(base, unit).alias("base_unit"), (v * F.element_at(fac, unit)).alias("qty_base"),
+            pack_size(t).alias("pack_size")]
+
+
+def pack_size(lowered: Column) -> Column:
+    of, count = F.regexp_extract(lowered, PACK_OF, 1), F.regexp_extract(lowered, PACK_COUNT, 1)
+    return F.when(of != "", of).when(count != "", count).try_cast("long")
 
 
 def extract_brand(text: str | Column) -> Column:
@@ -69,17 +80,23 @@ def category_pattern(words: list[str]) -> str:
 
 
 def bullet_stats(text: str | Column) -> list[Column]:
-    """Lines starting with a bullet mark, and ``Key: value`` lines."""
+    """Lines starting with a bullet mark; ``Key: value`` lines, counted and as
+    ``key=value`` in order."""
     lines = F.split(col_of(text), "\n")
+    pairs = F.filter(lines, lambda x: x.rlike(KEY_VALUE))
+    part = lambda x, k: F.regexp_extract(x, KEY_VALUE, k)
     return [F.size(F.filter(lines, lambda x: x.rlike(r"^\s*([-*•]|\d+[.)])\s+"))).alias("n_bullets"),
-            F.size(F.filter(lines, lambda x: x.rlike(r"^\s*[^:\s][^:]{0,40}:\s+\S"))).alias("n_key_values")]
+            F.size(pairs).alias("n_key_values"),
+            F.transform(pairs, lambda x: F.concat(part(x, 1), F.lit("="), part(x, 2))).alias("key_values")]
 
 
 def price_distribution(df: DataFrame, price: str = "price") -> DataFrame:
     p = F.col(price)
+    (q,) = exact_quantiles(df, [price], [0.05, 0.25, 0.5, 0.75, 0.95])
+    quantiles = F.lit(None).cast("array<double>") if q is None else F.array(*[F.lit(v) for v in q])
     return df.agg(
         F.count(p).alias("n"), F.min(p).alias("min"), F.max(p).alias("max"), F.avg(p).alias("mean"),
-        quantiles(df, price, [0.05, 0.25, 0.5, 0.75, 0.95]).alias("quantiles"),
+        F.first(quantiles).alias("quantiles"),
         F.skewness(p).alias("skew"), F.avg(F.log(p)).alias("log_mean"), F.stddev_pop(F.log(p)).alias("log_std"),
     )
 
@@ -89,22 +106,28 @@ def log_histogram(df: DataFrame, price: str = "price") -> DataFrame:
 
 
 def quality_profile(df: DataFrame, cols: list[str], id_col: str = "sample_id") -> DataFrame:
-    """Missing and distinct counts per column plus duplicated ids, one pass for
-    the counts (exact distinct counts: partial + final aggregation)."""
-    aggs = []
-    for c in cols:
-        aggs += [F.sum(F.col(c).isNull().cast("long")).alias(f"{c}__missing"),
-                 F.count_distinct(F.col(c)).alias(f"{c}__distinct")]
-    aggs += [F.count(F.lit(1)).alias("rows"), F.count_distinct(id_col).alias("distinct_ids")]
-    return df.agg(*aggs)
+    """Missing and distinct counts per column, rows and distinct ids, in one row.
+
+    Every value is reduced to a 128-bit digest while scanning, so neither texts
+    nor vectors are shuffled; digests are counted with map-side aggregation."""
+    names = [*cols, id_col]
+    cells = F.array(*[F.struct(F.lit(i).alias("k"), F.unhex(F.md5(F.col(c).cast("string").cast("binary"))).alias("v"))
+                      for i, c in enumerate(names)])
+    seen = df.select(F.explode(cells).alias("x")).groupBy("x.k", "x.v").agg(F.count(F.lit(1)).alias("n"))
+    per = seen.groupBy("k").agg(F.sum(F.when(F.col("v").isNull(), F.col("n")).otherwise(0)).alias("missing"),
+                                F.count("v").alias("distinct"), F.sum("n").alias("rows"))
+    at = lambda i, c: F.coalesce(F.max(F.when(F.col("k") == i, F.col(c))), F.lit(0)).cast("long")
+    out = []
+    for i, c in enumerate(cols):
+        out += [at(i, "missing").alias(f"{c}__missing"), at(i, "distinct").alias(f"{c}__distinct")]
+    return per.agg(*out, at(len(cols), "rows").alias("rows"), at(len(cols), "distinct").alias("distinct_ids"))
 
 
 def outlier_flags(df: DataFrame, price: str = "price", id_col: str = "sample_id") -> DataFrame:
-    """Outside [Q1 − 1.5·IQR, Q3 + 1.5·IQR].  The two bounds come from one
-    aggregate (a scalar subquery each, so no join with a one-row table)."""
-    q = df.agg(quantiles(df, price, [0.25, 0.75]).alias("q"))
-    lo = q.select(F.col("q")[0] - 1.5 * (F.col("q")[1] - F.col("q")[0])).scalar()
-    hi = q.select(F.col("q")[1] + 1.5 * (F.col("q")[1] - F.col("q")[0])).scalar()
+    """Outside [Q1 − 1.5·IQR, Q3 + 1.5·IQR]."""
+    (q,) = exact_quantiles(df, [price], [0.25, 0.75])
+    q1, q3 = q or (None, None)
+    lo, hi = (F.lit(None), F.lit(None)) if q is None else (F.lit(q1 - 1.5 * (q3 - q1)), F.lit(q3 + 1.5 * (q3 - q1)))
     p = F.col(price)
     return df.select(id_col, price, ((p < lo) | (p > hi)).alias("outlier"))
 
@@ -118,8 +141,8 @@ def correlation(x: str | Column, y: str | Column) -> Column:
 
 def price_tiers(df: DataFrame, price: str = "price") -> DataFrame:
     """Quartile tiers: count and mean price per tier."""
-    q = df.agg(quantiles(df, price, [0.25, 0.5, 0.75]).alias("q"))
-    q1, q2, q3 = (q.select(F.col("q")[i]).scalar() for i in range(3))
+    (q,) = exact_quantiles(df, [price], [0.25, 0.5, 0.75])
+    q1, q2, q3 = (F.lit(v).cast("double") for v in q or [None] * 3)
     p = F.col(price)
     tier = F.when(p <= q1, "budget").when(p <= q2, "value").when(p <= q3, "mid").otherwise("premium")
     return df.groupBy(tier.alias("tier")).agg(F.count(F.lit(1)).alias("n"), F.avg(p).alias("mean_price"))

@@ -13,10 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Above this many distinct values an exact percentile would hold too many
-# values in the final task; a quantile sketch is used instead.
-EXACT_QUANTILE_MAX_DISTINCT = 1_000_000
-SKETCH_ACCURACY = 1_000_000  # relative rank error 1e-6
+from .quantiles import exact_quantiles
 
 
 @dataclass
@@ -47,43 +44,16 @@ def fit_standard(df: DataFrame, cols: list[str]) -> ColumnScaler:
                         {c: _safe(row[f"s_{i}"]) for i, c in enumerate(cols)})
 
 
-def fit_robust(df: DataFrame, cols: list[str], exact: bool | None = None) -> ColumnScaler:
-    """Median and inter-quartile range (linear interpolation between ranks).
-
-    ``exact=None`` decides per run: exact percentiles when every column has at
-    most ``EXACT_QUANTILE_MAX_DISTINCT`` distinct values (the final aggregation
-    holds one entry per distinct value), a quantile sketch otherwise.
-    """
-    if exact is None:
-        nd = df.agg(*[F.approx_count_distinct(c).alias(f"d_{i}") for i, c in enumerate(cols)]).first()
-        exact = all((nd[f"d_{i}"] or 0) <= EXACT_QUANTILE_MAX_DISTINCT for i in range(len(cols)))
-    qs = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
-    if exact:
-        aggs = [F.percentile(F.col(c).cast("double"), qs).alias(f"q_{i}") for i, c in enumerate(cols)]
-    else:
-        aggs = [F.percentile_approx(F.col(c).cast("double"), qs, SKETCH_ACCURACY).alias(f"q_{i}")
-                for i, c in enumerate(cols)]
-    row = df.agg(*aggs).first()
+def fit_robust(df: DataFrame, cols: list[str]) -> ColumnScaler:
+    """Median and inter-quartile range (linear interpolation between ranks)."""
     center, scale = {}, {}
-    for i, c in enumerate(cols):
-        q1, med, q3 = row[f"q_{i}"] or (0.0, 0.0, 0.0)
+    for c, q in zip(cols, exact_quantiles(df, cols, [0.25, 0.5, 0.75])):
+        q1, med, q3 = q or (0.0, 0.0, 0.0)
         center[c] = float(med)
         scale[c] = _safe(q3 - q1)
     return ColumnScaler(center, scale)
 
 
-def quantiles(df: DataFrame, c: str | Column, probs: list[float], exact: bool | None = None) -> Column:
-    """Aggregate Column of quantiles (linear interpolation).  Exact when the
-    column's distinct count is bounded (checked with one sketch aggregate),
-    a quantile sketch otherwise, so the final task never holds an unbounded
-    value set."""
-    x = (F.col(c) if isinstance(c, str) else c).cast("double")
-    if exact is None:
-        exact = (df.agg(F.approx_count_distinct(x)).first()[0] or 0) <= EXACT_QUANTILE_MAX_DISTINCT
-    ps = F.array(*[F.lit(float(v)) for v in probs])
-    return F.percentile(x, ps) if exact else F.percentile_approx(x, ps, SKETCH_ACCURACY)
-
-
 @dataclass
 class ArrayScaler:
     """Element-wise (x − mean) / std for an ``array<double|float>`` column."""

@@ -171,18 +171,21 @@ def q_prediction_summary(spark, sf):
     return s.select(*[r6(c).alias(c) for c in s.columns])
 
 
-@register("feature_block_widths", with_catalog(select="""
-select 'text_stats' block, count(*) n_rows, 5 width from catalog
-union all select 'structured', count(*), 4 from catalog
-union all select 'visual', count(*), max(len(embedding)) from catalog"""))
+@register("feature_block_widths", with_catalog(
+    f"st as (select {q.text_stats('catalog_content')} from catalog)", select=f"""
+select 'text_stats' block, count(*) n_rows, max(len([{', '.join(tx.TEXT_STATS)}]))::int width from st
+union all select 'structured', count(*), max(len([p_size::double, n_chars, price_raw, has_visual]))::int from catalog
+union all select 'visual', count(*), max(len(embedding))::int from catalog"""))
 def q_feature_block_widths(spark, sf):
     cat = catalog(spark, sf)
-    agg = cat.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("embedding")).alias("vis"))
-    return agg.select(F.explode(F.array(
-        F.struct(F.lit("text_stats").alias("block"), F.col("n").alias("n_rows"), F.lit(5).alias("width")),
-        F.struct(F.lit("structured").alias("block"), F.col("n").alias("n_rows"), F.lit(4).alias("width")),
-        F.struct(F.lit("visual").alias("block"), F.col("n").alias("n_rows"), F.col("vis").alias("width")),
-    )).alias("b")).select("b.*")
+    train, test = train_test(cat)
+    numbers = S.common_numeric(train, test.drop("price"), exclude=("price", "sample_id", "fold"))
+    blocks = cat.select(F.explode(F.array(
+        F.struct(F.lit("text_stats").alias("block"), F.size(F.array(*tx.text_stats("catalog_content"))).alias("w")),
+        F.struct(F.lit("structured").alias("block"), F.size(F.array(*[F.col(c).cast("double") for c in numbers])).alias("w")),
+        F.struct(F.lit("visual").alias("block"), F.size("embedding").alias("w")))).alias("b"))
+    widths = blocks.groupBy("b.block").agg(F.count(F.lit(1)).alias("n_rows"), F.max("b.w").alias("width"))
+    return widths.select("block", "n_rows", "width")
 
 
 # ---- rows 77-78, 91: folds, split, seeded baseline -----------------------------------------------

@@ -30,6 +30,17 @@ def q_csv_read_robust(spark: SparkSession, sf: str) -> DataFrame:
     return df.select("sample_id", "catalog_content", "image_link", r6("price").alias("price"))
 
 
+@register("csv_read_latin1", with_catalog(select=r"""
+select sample_id, regexp_replace(catalog_content, '[^\x{00}-\x{FF}]', '?', 'g') catalog_content, round(price, 6) price
+from catalog"""))
+def q_csv_read_latin1(spark: SparkSession, sf: str) -> DataFrame:
+    """The same round trip in ISO-8859-1; characters it lacks become ``?``."""
+    path = scratch_path(spark, "catalog-latin1")
+    C.write_csv(catalog(spark, sf).select("sample_id", "catalog_content", "image_link", "price"), path, "ISO-8859-1")
+    df = C.read_csv(spark, path, C.TRAIN_SCHEMA, "ISO-8859-1")
+    return df.select("sample_id", "catalog_content", r6("price").alias("price"))
+
+
 @register("csv_quarantine", with_catalog(select="""
 select sample_id, has_visual = 0 bad, case when has_visual = 1 then round(price, 6) end price from catalog"""))
 def q_csv_quarantine(spark: SparkSession, sf: str) -> DataFrame:

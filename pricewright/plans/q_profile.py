@@ -19,10 +19,12 @@ def _unit_case(idx: int) -> str:
 
 @register("extract_quantity_unit", with_catalog(
     f"x as (select sample_id, regexp_extract({_LOW}, '{P.QTY_PATTERN}', 1) v, "
-    f"regexp_extract({_LOW}, '{P.QTY_PATTERN}', 2) u from catalog)",
+    f"regexp_extract({_LOW}, '{P.QTY_PATTERN}', 2) u, regexp_extract({_LOW}, '{P.PACK_OF}', 1) po, "
+    f"regexp_extract({_LOW}, '{P.PACK_COUNT}', 1) pc from catalog)",
     select=f"""
 select sample_id, case when v <> '' then v::double end qty_value, case when u <> '' then u end qty_unit,
-  {_unit_case(0)} base_unit, round(case when v <> '' then v::double end * {_unit_case(1)}, 6) qty_base from x"""))
+  {_unit_case(0)} base_unit, round(case when v <> '' then v::double end * {_unit_case(1)}, 6) qty_base,
+  case when po <> '' then try_cast(po as bigint) when pc <> '' then try_cast(pc as bigint) end pack_size from x"""))
 def q_extract_quantity(spark, sf):
     cols = P.extract_quantity("catalog_content")
     df = catalog(spark, sf).select("sample_id", *cols)
@@ -44,10 +46,12 @@ def q_category_flags(spark, sf):
     return catalog(spark, sf).select("sample_id", *P.category_flags("catalog_content"))
 
 
-@register("bullet_value_extract", with_catalog(select=r"""
+@register("bullet_value_extract", with_catalog(select=rf"""
 select sample_id,
   len(list_filter(string_split(catalog_content, chr(10)), lambda x: regexp_matches(x, '^\s*([-*•]|\d+[.)])\s+'))) n_bullets,
-  len(list_filter(string_split(catalog_content, chr(10)), lambda x: regexp_matches(x, '^\s*[^:\s][^:]{0,40}:\s+\S'))) n_key_values
+  len(list_filter(string_split(catalog_content, chr(10)), lambda x: regexp_matches(x, '{P.KEY_VALUE}'))) n_key_values,
+  list_transform(list_filter(string_split(catalog_content, chr(10)), lambda x: regexp_matches(x, '{P.KEY_VALUE}')),
+    lambda x: regexp_extract(x, '{P.KEY_VALUE}', 1) || '=' || regexp_extract(x, '{P.KEY_VALUE}', 2)) key_values
 from catalog"""))
 def q_bullet_value_extract(spark, sf):
     return catalog(spark, sf).select("sample_id", *P.bullet_stats("catalog_content"))
@@ -71,7 +75,8 @@ def q_price_log_histogram(spark, sf):
     return P.log_histogram(catalog(spark, sf))
 
 
-_QCOLS = ["catalog_content", "image_link", "p_brand", "p_type", "p_size"]
+_QCOLS = ["sample_id", "catalog_content", "image_link", "p_brand", "p_type", "p_size", "n_chars", "price_raw", "price",
+          "embedding", "has_visual", "fold"]
 
 
 @register("data_quality_profile", with_catalog(select="select " + ", ".join(

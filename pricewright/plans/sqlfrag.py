@@ -26,7 +26,7 @@ def preprocess(c: str) -> str:
 
 def strip_accents(c: str) -> str:
     src, dst = accent_table()
-    return f"translate({c}, '{src}', '{dst}')"
+    return f"regexp_replace(translate({c}, '{src}', '{dst}'), '[\\x{{300}}-\\x{{36F}}]', '', 'g')"
 
 
 def analyzer_text(c: str) -> str:
