@@ -30,19 +30,22 @@ from pyspark.sql import functions as F
 from .common import cut_lineage, filled, text_key, with_columns_of
 
 WINDOW = 13
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: All but \x00-\x2F, \x3A-\x60 and \x7B-\x7F, as ranges that the JVM's patterns
+#: test several times faster than the negated class.
+WORD = r"[0-9a-z\x{80}-\x{10FFFF}]+"
+CASED_WORD = r"[0-9A-Za-z\x{80}-\x{10FFFF}]+"  # before A-Z are lower-cased
 #: Rows of the broadcast that prunes the second reading, at most.
 BUCKETS = 1 << 17
 
 
-def lower_ascii(c: Column) -> Column:
-    """Lower-cases A-Z only; ``lower`` does just that on texts of ASCII."""
-    return F.when(F.octet_length(c) == F.char_length(c), F.lower(c)).otherwise(
-        F.translate(c, string.ascii_uppercase, string.ascii_lowercase))
+def words() -> Column:
+    """Words, with A-Z (and no other letter) in lower case."""
+    lowered = F.translate(filled(), string.ascii_uppercase, string.ascii_lowercase)
+    return F.regexp_extract_all(lowered, F.lit(WORD), F.lit(0))
 
 
-def words() -> Column:
-    return F.regexp_extract_all(lower_ascii(filled()), F.lit(WORD), F.lit(0))
+def n_words() -> Column:
+    return F.regexp_count(filled(), F.lit(CASED_WORD)).cast("long")
 
 
 def once(array: Column, use) -> Column:
@@ -92,12 +95,13 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents with ``__n_words``, ``__n_hit``, ``__items`` (sorted ids)."""
+    """The documents with ``__key`` (digest of the text), ``__n_words``,
+    ``__n_hit`` and ``__items`` (sorted ids)."""
     items = cut_lineage(item_windows(benchmark))
     lengths = sorted(r["m"] for r in items.select("m").distinct().collect())  # 13 values at most
     keyed = with_columns_of(docs, __key=F.unhex(text_key()))
     if not lengths:
-        return with_columns_of(docs, __n_words=F.size(words()).cast("long"), __n_hit=F.lit(0).cast("long"),
+        return with_columns_of(keyed, __n_words=n_words(), __n_hit=F.lit(0).cast("long"),
                                __items=F.array().cast("array<string>"))
     shared = (keyed.select("__key", F.explode(fingerprints(lengths)).alias("hash"))
               .join(items.select("hash").distinct(), "hash", "left_semi")
@@ -128,9 +132,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                               (a["n"] + F.greatest(F.lit(0), x["s"] + x["m"] - F.greatest(a["end"], x["s"]))).alias("n")),
         lambda a: a["n"])
     found = found.select("__key", n_hit.alias("__n_hit"), "__items")
-    return (with_columns_of(keyed, __n_words=F.size(words()).cast("long")).join(found, "__key", "left")
+    return (with_columns_of(keyed, __n_words=n_words()).join(found, "__key", "left")
             .withColumn("__n_hit", F.coalesce("__n_hit", F.lit(0).cast("long")))
-            .withColumn("__items", F.coalesce("__items", F.array().cast("array<string>"))).drop("__key"))
+            .withColumn("__items", F.coalesce("__items", F.array().cast("array<string>"))))
 
 
 def contaminated() -> Column:
@@ -138,6 +142,14 @@ def contaminated() -> Column:
     return (F.col("__n_hit") > 0) & (20 * F.col("__n_hit") >= F.col("__n_words"))
 
 
+def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The documents that the rule does not name.  Texts are not shuffled while
+    the digests of the contaminated ones are few enough to be broadcast."""
+    named = contamination(docs.select("text"), benchmark).filter(contaminated()).select("__key").distinct()
+    left = with_columns_of(docs, __key=F.unhex(text_key())).join(cut_lineage(named), "__key", "left_anti")
+    return left.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def contamination_digest(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row a document: hit words, and the items that hit it."""
     # the text itself is not carried through the joins
