@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 
 import numpy as np
@@ -29,6 +30,14 @@ def filled(c: str = "text") -> Column:
     return F.coalesce(F.col(c).cast("string"), F.lit(""))
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Spark deletes the shuffle files of finished jobs when the driver's garbage
+    collector finds them unreachable.  Jobs of many rounds ask for that after a
+    round, so that the disks hold the files of one round, not of all."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def text_key(c: str = "text") -> Column:
     """Equal texts have equal keys; null counts as empty."""
     return F.md5(filled(c).cast("binary"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut_lineage
+from .common import cut_lineage, free_shuffles
 
 
 def _both_ways(links: DataFrame) -> DataFrame:
@@ -31,6 +31,8 @@ def components(links: DataFrame) -> DataFrame:
         # small star: a node's smaller neighbours, and the node itself, go to the least of them
         small = _hooked(large, F.lit(True)).union(large.groupBy("a").agg(F.min("b").alias("b")))
         links = cut_lineage(small.filter("a <> b").distinct())
+        del large, small
+        free_shuffles(links.sparkSession)
         now = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if seen == now:
             return links.select(F.col("a").alias("node"), F.col("b").alias("root")).union(

@@ -7,12 +7,15 @@
    most one differing field.  So each chunk is indexed once for each field left
    out: all such pairs meet in a bucket.  (At similarity 0.8 the probability
    that a pair meets nowhere is 3e-6, and it falls quickly above.)
-3. In each bucket every class is paired with the least one (a star, not all
-   pairs), and each class first tries its least partner.  Pairs are confirmed
-   on their full sets, and confirmed links joined to components.
-4. Buckets that still hold several components pair across them; those pairs are
-   confirmed as well.  After that, every two classes that met in a bucket are
-   either in one component or were compared: no link is lost by the stars.
+3. In each bucket every class is paired with one center (a star, not all pairs).
+   Pairs are compared on their full sets, and links joined to components.
+4. Where the members of a center still belong to several components, shingles
+   that few of them have are told from the common core.  The member with fewest
+   rare shingles is the center of a second star.  What is still apart is paired
+   if both share enough with the core to be linked by that alone, or if both
+   have the same rare shingle in their prefixes.  Other pairs can't reach the
+   similarity: every two classes that met in a bucket are in one component, were
+   compared, or can't be linked.  The stars lose no link.
 
 Bucket rows and set rows are joined, never gathered, so a hot bucket is split
 by the adaptive skew join.  Sets are made again for paired classes only.
@@ -37,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut_lineage, filled, mix64, text_key, with_columns_of
+from .common import cut_lineage, filled, free_shuffles, mix64, text_key, with_columns_of
 from .graph import components
 
 CHUNKS, PER_CHUNK = 12, 6
@@ -144,10 +147,11 @@ def _distance(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series((x != y).sum(axis=1), dtype="int32")
 
 
-@F.pandas_udf(T.LongType())
-def _common(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([len(np.intersect1d(np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8"), assume_unique=True))
-                      for x, y in zip(a, b)], dtype="int64")
+@F.pandas_udf(T.ArrayType(T.LongType()))
+def _lacking(a: pd.Series, b: pd.Series) -> pd.Series:
+    """Shingles of b that a lacks."""
+    return pd.Series([np.setdiff1d(np.frombuffer(y, "<i8"), np.frombuffer(x, "<i8"), assume_unique=True) for x, y in zip(a, b)],
+                     dtype=object)
 
 
 def _sets(words: int):
@@ -163,67 +167,112 @@ def _row_id() -> Column:
     return F.unhex(F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), text_key()).cast("binary")))
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Checkpointed; the shuffles that made it are freed."""
+    out = cut_lineage(df)
+    free_shuffles(out.sparkSession)
+    return out
+
+
 class Finder:
     """The steps over one table of documents (doc_id, text)."""
 
     def __init__(self, docs: DataFrame, words: int, percent: int):
         self.words, self.percent = words, percent
         self.docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), filled().alias("__text"), _row_id().alias("rid"))
-        self.rows = cut_lineage(self.docs.mapInPandas(
+        self.rows = stored(self.docs.mapInPandas(
             _signed(words), "doc_id long, rid binary, set_key binary, sig binary, n long"))
         # one row a class; its representative is the least id, null last
         least = F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "rid")).alias("r")
         classes = self.rows.filter("n > 0").groupBy("set_key").agg(F.max("n").alias("n"), F.max("sig").alias("sig"), least)
-        self.classes = cut_lineage(classes.select(
+        self.classes = stored(classes.select(
             F.monotonically_increasing_id().alias("node"), "set_key", "n", "sig", "r.doc_id", "r.rid"))
 
     def buckets(self) -> DataFrame:
-        """(bucket, node) of the buckets with several classes, and their least."""
+        """(bucket, node, center) of the buckets with several classes.  The
+        center is the class that meets most others in all its buckets: in a
+        group of edited copies, one near to what all were copied from."""
         rows = self.classes.select("node", "sig").mapInPandas(_bucketed, "bucket long, node long")
-        several = rows.groupBy("bucket").agg(F.min("node").alias("center"), F.max("node").alias("most")).filter("most > center")
-        return cut_lineage(rows.join(several.select("bucket", "center"), "bucket"))
+        several = rows.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
+        met = stored(rows.join(several, "bucket"))
+        known = met.groupBy("node").agg(F.sum(F.col("n") - 1).alias("meets"))
+        center = met.join(known, "node").groupBy("bucket").agg(F.max(F.struct("meets", (-F.col("node")).alias("x"))).alias("c"))
+        return stored(met.select("bucket", "node").join(center.select("bucket", (-F.col("c.x")).alias("center")), "bucket"))
 
     def near(self, pairs: DataFrame) -> DataFrame:
         """Pairs (a, b) that sizes and signatures leave possible."""
         of = lambda c: self.classes.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("sig").alias(f"sig_{c}"))
         sized = pairs.join(of("a"), "a").join(of("b"), "b").filter(
             100 * F.least("n_a", "n_b") >= self.percent * F.greatest("n_a", "n_b"))
-        return cut_lineage(sized.filter(_distance("sig_a", "sig_b") <= MAX_DISTANCE).select("a", "b", "n_a", "n_b"))
+        return stored(sized.filter(_distance("sig_a", "sig_b") <= MAX_DISTANCE).select("a", "b", "n_a", "n_b"))
 
-    def confirmed(self, pairs: DataFrame) -> DataFrame:
-        """Those of ``near`` pairs that are links on the full sets."""
+    def compared(self, pairs: DataFrame) -> DataFrame:
+        """Pairs (a, b, n_a, n_b) with the shingles of b that a lacks, on the full sets."""
         nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        wanted = cut_lineage(self.classes.join(nodes, "node").select("node", "rid"))
+        wanted = stored(self.classes.join(nodes, "node").select("node", "rid"))
         bucket = F.pmod(F.xxhash64("rid"), F.lit(BUCKETS))
         few = wanted.select(bucket.alias("__bucket")).distinct()  # BUCKETS rows at most
         texts = (self.docs.select("rid", "__text").withColumn("__bucket", bucket)
                  .join(F.broadcast(few), "__bucket", "left_semi").join(wanted, "rid").select("node", "__text"))
         sets = texts.mapInPandas(_sets(self.words), "node long, shingles binary")
         of = lambda c: sets.select(F.col("node").alias(c), F.col("shingles").alias(f"set_{c}"))
-        both = pairs.join(of("b"), "b").join(of("a"), "a").withColumn("common", _common("set_a", "set_b"))
-        return cut_lineage(both.filter(
-            100 * F.col("common") >= self.percent * (F.col("n_a") + F.col("n_b") - F.col("common"))).select("a", "b").distinct())
+        both = pairs.join(of("b"), "b").join(of("a"), "a").withColumn("rest", _lacking("set_a", "set_b"))
+        return stored(both.select("a", "b", "n_a", "n_b", "rest"))
+
+    def linked(self, pairs: DataFrame) -> DataFrame:
+        common = F.col("n_b") - F.size("rest")
+        return pairs.filter(100 * common >= self.percent * (F.col("n_a") + F.col("n_b") - common)).select("a", "b")
+
+    def members(self, rows: DataFrame, links: DataFrame) -> DataFrame:
+        """Rows (center, node, ...) of the centers whose members do not belong to
+        one component, with the component as ``root``."""
+        rows = rows.drop("root").join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
+        mixed = rows.groupBy("center").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("center")
+        return stored(rows.join(mixed, "center"))
+
+    def with_rare(self, members: DataFrame) -> DataFrame:
+        """Adds ``rare``: the shingles of a member that neither its center nor
+        half of the center's members have, rarest first; and ``core``, how many
+        others it has."""
+        rest = members.select("center", "node", F.explode("rest").alias("shingle"))
+        size = members.groupBy("center").agg(F.count("*").alias("members"))
+        seen = rest.groupBy("center", "shingle").agg(F.count("*").alias("seen")).join(size, "center").filter("2 * seen <= members")
+        rare = rest.join(seen, ["center", "shingle"]).groupBy("center", "node").agg(
+            F.array_sort(F.collect_list(F.struct("seen", "shingle"))).alias("rare"))
+        rows = members.drop("rest").join(rare, ["center", "node"], "left")
+        rows = rows.withColumn("rare", F.coalesce("rare", F.array().cast("array<struct<seen:bigint,shingle:bigint>>")))
+        return stored(rows.withColumn("core", F.col("n") - F.size("rare")))
 
     def links(self) -> DataFrame:
         met = self.buckets()
-        stars = met.filter("center < node").groupBy("node").agg(F.min("center").alias("a")).select("a", F.col("node").alias("b"))
-        links = self.confirmed(self.near(stars))
-        # classes of one bucket that are not yet in one component
-        known = components(links)
-        held = met.select("bucket", "node").join(known, "node", "left").select(
-            "bucket", "node", F.coalesce("root", "node").alias("root"))
-        held = held.join(self.classes.select("node", "n"), "node")
-        apart = held.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("bucket")
-        held = cut_lineage(held.join(apart, "bucket"))
-        left, right = (held.select("bucket", F.col("node").alias(c), F.col("root").alias(f"r_{c}"), F.col("n").alias(f"n_{c}"))
-                       for c in ("a", "b"))
-        across = left.join(right, "bucket").filter(
-            (F.col("a") < F.col("b")) & (F.col("r_a") != F.col("r_b"))
-            & (100 * F.least("n_a", "n_b") >= self.percent * F.greatest("n_a", "n_b"))).select("a", "b").distinct()
-        more = self.near(across.join(stars, ["a", "b"], "left_anti"))
-        if more.isEmpty():
-            return links
-        return cut_lineage(links.union(self.confirmed(more)))
+        n = self.classes.select("node", "n")
+        stars = (met.filter("center <> node").select(F.col("center").alias("a"), F.col("node").alias("b")).distinct()
+                 .join(n.select(F.col("node").alias("a"), F.col("n").alias("n_a")), "a")
+                 .join(n.select(F.col("node").alias("b"), F.col("n").alias("n_b")), "b"))
+        tried = self.compared(stored(stars))
+        links = self.linked(tried)
+        rows = tried.select(F.col("a").alias("center"), F.col("b").alias("node"), F.col("n_b").alias("n"), "rest")
+        rows = self.with_rare(self.members(rows, links))
+        # second star: around the member with fewest rare shingles
+        best = rows.groupBy("center").agg(F.min(F.struct(F.size("rare").alias("k"), "node", "root")).alias("best"))
+        second = rows.join(best, "center").filter((F.col("node") != F.col("best.node")) & (F.col("root") != F.col("best.root")))
+        second = second.select(F.least("node", "best.node").alias("a"), F.greatest("node", "best.node").alias("b")).distinct()
+        links = stored(links.union(self.linked(self.compared(self.near(second)))))
+        rows = self.members(rows, links)
+        side = lambda df, c, *on: df.select(*on, *[F.col(x).alias(f"{x}_{c}") for x in ("node", "root", "n", "core")])
+        apart = ((F.col("node_a") < F.col("node_b")) & (F.col("root_a") != F.col("root_b"))
+                 & (100 * F.least("n_a", "n_b") >= self.percent * F.greatest("n_a", "n_b")))
+        # Two members that share no rare shingle have no more in common than the lesser core ...
+        enough = F.least("core_a", "core_b") * (100 + self.percent) >= self.percent * (F.col("n_a") + F.col("n_b"))
+        inner = rows.filter(100 * F.col("core") >= self.percent * F.col("n"))
+        by_core = side(inner, "a", "center").join(side(inner, "b", "center"), "center").filter(apart & enough)
+        # ... and in an order that has the rare ones first, the first common shingle lies in the prefixes of both.
+        prefix = F.col("n") - F.ceil(F.col("n") * self.percent / 100) + 1
+        outer = rows.withColumn("x", F.explode(F.slice("rare", F.lit(1), prefix.cast("int")))).withColumn("shingle", F.col("x.shingle"))
+        by_rare = side(outer, "a", "center", "shingle").join(side(outer, "b", "center", "shingle"), ["center", "shingle"]).filter(apart)
+        across = by_core.select("node_a", "node_b").union(by_rare.select("node_a", "node_b")).distinct()
+        across = self.near(across.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")))
+        return stored(links.union(self.linked(self.compared(across))))
 
     def groups(self) -> DataFrame:
         """(doc_id, rid, n, component_id, component rid) of every row."""
