@@ -91,20 +91,18 @@ def _count_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 class Model:
     """Log frequencies: rows of ``table`` for words and grams, a column a language."""
 
-    def __init__(self, langs: list[str], words: list[tuple], gram_rows: list[tuple], totals: dict[str, dict[str, int]]):
+    def __init__(self, langs: list[str], words: tuple[list[str], np.ndarray], gram_rows: tuple[list[str], np.ndarray],
+                 totals: dict[str, dict[str, int]]):
+        """``words`` and ``gram_rows``: the items, and their counts by language."""
         self.langs = langs
-        self.words = {w: k for k, (w, _) in enumerate(words)}
-        self.grams = {g: len(words) + k for k, (g, _) in enumerate(gram_rows)}
-        at = {x: k for k, x in enumerate(langs)}
-        counts = np.zeros((len(words) + len(gram_rows), len(langs)))
-        for k, (_, by_lang) in enumerate([*words, *gram_rows]):
-            for x in by_lang:
-                counts[k, at[x["lang"]]] = x["n"]
-        for part, kinds, name in ((slice(0, len(words)), len(words), "words"),
-                                  (slice(len(words), None), len(gram_rows), "grams")):
+        self.words = {w: k for k, w in enumerate(words[0])}
+        self.grams = {g: len(words[0]) + k for k, g in enumerate(gram_rows[0])}
+        parts = []
+        for (items, counts), name in ((words, "words"), (gram_rows, "grams")):
             total = np.array([totals[name].get(x, 0) for x in langs], float)
-            counts[part] = np.log((counts[part] + 0.5) / (total + 0.5 * max(1, kinds)))
-        self.table = counts
+            counts = np.asarray(counts, float).reshape(len(items), len(langs))
+            parts.append(np.log((counts + 0.5) / (total + 0.5 * max(1, len(items)))))
+        self.table = np.concatenate(parts)
 
     def row(self, word: str) -> np.ndarray:
         """A word's log frequencies: its own, or by backoff; zeros when not even
@@ -150,7 +148,7 @@ def predict(rows: Rows, text: str | None) -> tuple[str, float]:
     return langs[best], round(float(p[best] / p.sum()), 9)
 
 
-def fit(labelled: DataFrame, docs_per_lang: int = 4000, max_words: int = 50_000, max_grams: int = 60_000,
+def fit(labelled: DataFrame, docs_per_lang: int = 4000, max_words: int = 40_000, max_grams: int = 40_000,
         max_langs: int = 1000) -> Model:
     """Learns from columns ``text`` and ``lang`` (and ``doc_id`` for the sample)."""
     rows = labelled.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text", "lang")
@@ -159,7 +157,7 @@ def fit(labelled: DataFrame, docs_per_lang: int = 4000, max_words: int = 50_000,
         raise ValueError(f"more than {max_langs} languages")
     langs = sorted(r["lang"] for r in found)
     if not langs:
-        return Model([], [], [], {"words": {}, "grams": {}})
+        return Model([], ([], []), ([], []), {"words": {}, "grams": {}})
     share = rows.sparkSession.createDataFrame([(r["lang"], docs_per_lang / r["count"]) for r in found],
                                               "lang string, __share double")
     draw = uniform("lang", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), text_key())
@@ -168,10 +166,10 @@ def fit(labelled: DataFrame, docs_per_lang: int = 4000, max_words: int = 50_000,
     words = sample.mapInPandas(_count_words, shape).groupBy("lang", "item").agg(F.sum("n").alias("n")).persist()
     gram = words.mapInPandas(_count_grams, shape).groupBy("lang", "item").agg(F.sum("n").alias("n")).persist()
 
-    def top(counts: DataFrame, n: int) -> list[tuple]:
-        by_item = counts.groupBy("item").agg(F.sum("n").alias("t"), F.collect_list(F.struct("lang", "n")).alias("by"))
-        kept = by_item.orderBy(F.desc("t"), "item").limit(n).collect()
-        return [(r["item"], r["by"]) for r in kept]
+    def top(counts: DataFrame, n: int) -> tuple[list[str], np.ndarray]:
+        by_lang = [F.sum(F.when(F.col("lang") == x, F.col("n")).otherwise(0)).alias(f"l{k}") for k, x in enumerate(langs)]
+        kept = counts.groupBy("item").agg(F.sum("n").alias("t"), *by_lang).orderBy(F.desc("t"), "item").limit(n).toPandas()
+        return kept["item"].tolist(), kept[[f"l{k}" for k in range(len(langs))]].to_numpy(float)
 
     def totals(counts: DataFrame) -> dict[str, int]:
         return {r["lang"]: r["t"] for r in counts.groupBy("lang").agg(F.sum("n").alias("t")).collect()}

@@ -24,8 +24,8 @@ def test_language(docs):
 
 
 def test_language_backoff_of_unseen_words():
-    model = langid.Model(["a", "b"], [("hello", [{"lang": "a", "n": 5}])],
-                         [("^wor", [{"lang": "b", "n": 3}]), ("w", [{"lang": "a", "n": 3}])], {"words": {"a": 5}, "grams": {"a": 3, "b": 3}})
+    model = langid.Model(["a", "b"], (["hello"], [[5, 0]]), (["^wor", "w"], [[0, 3], [3, 0]]),
+                         {"words": {"a": 5}, "grams": {"a": 3, "b": 3}})
     assert langid.predict(langid.Rows(model), "hello")[0] == "a"
     assert langid.predict(langid.Rows(model), "world")[0] == "b"  # its 4-gram, not its letter
     assert langid.predict(langid.Rows(model), "two")[0] == "a"  # back to single letters
