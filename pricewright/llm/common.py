@@ -30,6 +30,14 @@ def filled(c: str = "text") -> Column:
     return F.coalesce(F.col(c).cast("string"), F.lit(""))
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Texts go to Python in Arrow batches of at most so many rows, which bounds
+    a worker's memory; a smaller setting of the session stays."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, str(rows))
+
+
 def free_shuffles(spark: SparkSession) -> None:
     """Spark deletes the shuffle files of finished jobs when the driver's garbage
     collector finds them unreachable.  Jobs of many rounds ask for that after a

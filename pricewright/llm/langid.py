@@ -19,7 +19,6 @@ out.  Very long texts are counted slice by slice.
 
 from __future__ import annotations
 
-import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -29,12 +28,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import filled, fold, slices, text_key, uniform
+from .common import fold, slices, small_batches, text_key, uniform
 
 WORD = re.compile(r"[^\W\d_]+")
 GRAM_LENGTHS = (5, 4, 3, 2, 1)
 #: Distinct counts or cached words that a task holds before it lets go of them.
-HELD = 200_000
+HELD = 100_000
 
 
 def word_counts(text: str) -> Counter:
@@ -151,6 +150,7 @@ def predict(rows: Rows, text: str | None) -> tuple[str, float]:
 def fit(labelled: DataFrame, docs_per_lang: int = 4000, max_words: int = 40_000, max_grams: int = 40_000,
         max_langs: int = 1000) -> Model:
     """Learns from columns ``text`` and ``lang`` (and ``doc_id`` for the sample)."""
+    small_batches(labelled.sparkSession)
     rows = labelled.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text", "lang")
     found = rows.groupBy("lang").count().limit(max_langs + 1).collect()
     if len(found) > max_langs:
@@ -182,6 +182,7 @@ def fit(labelled: DataFrame, docs_per_lang: int = 4000, max_words: int = 40_000,
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
     """``__lang`` and ``__score`` beside the columns of the documents."""
+    small_batches(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(model)  # bounded by max_words and max_grams
 
     @F.pandas_udf("lang string, score double")

@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut_lineage, filled, free_shuffles, mix64, text_key, with_columns_of
+from .common import cut_lineage, filled, free_shuffles, mix64, small_batches, text_key, with_columns_of
 from .graph import components
 
 CHUNKS, PER_CHUNK = 12, 6
@@ -50,7 +50,7 @@ FIELDS = CHUNKS * PER_CHUNK
 MAX_DISTANCE = 36
 #: Rows of the broadcast that prunes the second reading, at most.
 BUCKETS = 1 << 17
-HELD = 500_000
+HELD = 200_000
 BLOCK = 2048
 SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
@@ -178,6 +178,7 @@ class Finder:
     """The steps over one table of documents (doc_id, text)."""
 
     def __init__(self, docs: DataFrame, words: int, percent: int):
+        small_batches(docs.sparkSession)
         self.words, self.percent = words, percent
         self.docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), filled().alias("__text"), _row_id().alias("rid"))
         self.rows = stored(self.docs.mapInPandas(
