@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import BROADCAST_MAX_ROWS
+from ..session import BROADCAST_MAX_ROWS, cut_lineage
 
 
 def _flip(components: np.ndarray) -> np.ndarray:
@@ -89,17 +89,21 @@ def _rows(X: DataFrame, terms: DataFrame, id_col: str) -> DataFrame:
     """One row per document: (id, idx array, value array).
 
     The explicit partition count keeps the CPU-bound passes spread over the
-    cluster (AQE would merge a small shuffle into one task).  It is capped at
-    the cluster's core count: a pass cannot use more partitions at once, and
-    every partition sends one partial (touched terms × width) to the reduce."""
+    cluster (AQE would merge a small shuffle into one task) and their size to
+    the data; a pass streams several of them through one task (``_streams``)."""
     t = F.broadcast(terms)  # bounded by the vocabulary cap (checked by the caller)
-    spark = X.sparkSession
-    n = min(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    n = int(X.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     j = X.join(t, "term").select(id_col, "idx", F.col("weight").cast("double").alias("w")).repartition(n, id_col)
     return j.groupBy(id_col).agg(F.collect_list(F.struct("idx", "w")).alias("e")).select(
         id_col, F.col("e.idx").alias("idx"), F.col("e.w").alias("w"))
 
 
+def _streams(rows: DataFrame) -> DataFrame:
+    """As many partitions as cores: each task reads many stored partitions one
+    after the other and sends one partial (touched terms × width)."""
+    return rows.coalesce(rows.sparkSession.sparkContext.defaultParallelism)
+
+
 def _blocks(pdf, docs: int = 256):
     """Dense blocks of a batch of documents: (row positions, term ids, D) where
     D[i, j] is the weight of term ``uniq[j]`` in the i-th document.  Products
@@ -147,7 +151,7 @@ def _one_pass(rows: DataFrame, omega: np.ndarray, n_terms: int) -> tuple[np.ndar
     spark = rows.sparkSession
     width = omega.shape[1]
     ob = spark.sparkContext.broadcast(omega)
-    parts = rows.mapInPandas(_pass_fn(ob, n_terms, width), "idx int, z array<double>")
+    parts = _streams(rows).mapInPandas(_pass_fn(ob, n_terms, width), "idx int, z array<double>")
     red = parts.groupBy("idx").agg(Summarizer.sum(array_to_vector("z")).alias("s"))
     # (|vocab| + width) rows of ``width`` doubles: the model-sized result, via Arrow
     got = red.select("idx", vector_to_array("s").alias("s")).toPandas()
@@ -171,7 +175,8 @@ class SvdModel:
         """(id, array of k scores) for any long-form matrix over the same terms.
         Documents with no kept term get a zero vector when joined back by the
         caller (left join + coalesce)."""
-        k = self.components.shape[0]
+        if not len(self.components):
+            return X.select(id_col).distinct().withColumn("svd", F.array().cast("array<double>"))
         comp = self.components.T  # (|vocab|, k)
         spark = X.sparkSession
         cb = spark.sparkContext.broadcast(comp)
@@ -193,21 +198,27 @@ class SvdModel:
 
 def fit_truncated_svd(X: DataFrame, vocab: DataFrame, k: int, n_iter: int = 5, oversample: int = 10,
                       seed: int = 42, id_col: str = "sample_id") -> SvdModel:
-    """Top-k right singular vectors of the long-form matrix X (id, term, weight)."""
-    terms = index_terms(vocab).cache()
-    n_terms = terms.count()
+    """Top-k right singular vectors of the long-form matrix X (id, term, weight).
+
+    The vocabulary holds at most ``BROADCAST_MAX_ROWS`` terms (set the
+    vectoriser's ``max_features``); more are refused before any work.  Without
+    terms the model has no components."""
+    vocab = cut_lineage(vocab.select("term").limit(BROADCAST_MAX_ROWS + 1))
+    n_terms = vocab.count()
     if n_terms > BROADCAST_MAX_ROWS:
-        raise ValueError(f"vocabulary of {n_terms} terms exceeds the broadcast bound {BROADCAST_MAX_ROWS}")
+        raise ValueError(f"the vocabulary exceeds the broadcast bound of {BROADCAST_MAX_ROWS} terms")
+    terms = cut_lineage(index_terms(vocab))
+    if not n_terms:
+        return SvdModel(terms, np.zeros((0, 0)), np.zeros(0))
     k = min(k, n_terms)
     width = min(k + oversample, n_terms)
     rng = np.random.default_rng(seed)
     omega = rng.standard_normal((n_terms, width))
-    rows = _rows(X, terms, id_col).cache()
+    rows = cut_lineage(_rows(X, terms, id_col))
     for _ in range(n_iter):
         Z, _ = _one_pass(rows, omega, n_terms)  # Z = XᵀXΩ
         omega, _ = np.linalg.qr(Z)
     Z, G = _one_pass(rows, omega, n_terms)  # Z = XᵀXΩ, G = (XΩ)ᵀ(XΩ)
-    rows.unpersist()
     # Q = XΩR⁻¹ with RᵀR = G; B = QᵀX = R⁻ᵀ Zᵀ  (width × |vocab|)
     evals, evecs = np.linalg.eigh(G)
     keep = evals > evals.max() * 1e-12

@@ -16,8 +16,8 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
-from .metrics import smape, smape_drop_zero
+from ..session import cut_lineage, fit_table
+from .metrics import smape_drop_zero
 from .regress import SmapeEvaluator
 
 
@@ -25,6 +25,12 @@ def with_vector(df: DataFrame, arr: str = "features", out: str = "fv") -> DataFr
     return df.withColumn(out, array_to_vector(F.col(arr)))
 
 
+def _width(df: DataFrame, vec: str) -> int:
+    """Numbers that a vector column stores in a row, by its first row."""
+    row = df.select(vec).first()
+    return 0 if row is None or row[0] is None else len(row[0].values if hasattr(row[0], "indices") else row[0])
+
+
 def _fit_predict(est: Estimator, fit_df: DataFrame, pred_df: DataFrame, name: str, label: str) -> DataFrame:
     model = est.fit(fit_df)
     cols = ["sample_id", "prediction"] + ([label] if label in pred_df.columns else [])
@@ -33,20 +39,34 @@ def _fit_predict(est: Estimator, fit_df: DataFrame, pred_df: DataFrame, name: st
 
 
 def oof_predictions(train: DataFrame, models: dict[str, Estimator], fold_col: str = "cv_fold", k: int = 5,
-                    label: str = "price", parallelism: int = 4) -> DataFrame:
+                    label: str = "price", parallelism: int = 4, skipped: dict[str, str] | None = None) -> DataFrame:
     """(sample_id, model, prediction, price): every training row predicted by a
     model fitted without its fold (row 84); the union over folds covers every
-    row exactly once per model (row 58)."""
+    row exactly once per model (row 58).
+
+    A member that fails is an error, unless ``skipped`` is given: it then gets
+    the member's name and reason, and the others go on; none left is an error."""
     jobs = [(name, est, f) for name, est in models.items() for f in range(k)]
+    vectors = sorted({est.getOrDefault("featuresCol") for est in models.values()})
+    width = sum(_width(train, v) for v in vectors)
+    train = fit_table(train.select("sample_id", fold_col, label, *vectors), 8 * width + 64)
 
     def run(job):
         name, est, f = job
-        fit_df = train.filter(F.col(fold_col) != f)
-        part = _fit_predict(est, fit_df, train.filter(F.col(fold_col) == f), name, label)
-        return part.withColumn("fold", F.lit(f))
+        try:
+            fit_df = train.filter(F.col(fold_col) != f)
+            part = _fit_predict(est, fit_df, train.filter(F.col(fold_col) == f), name, label)
+            return name, part.withColumn("fold", F.lit(f))
+        except Exception as e:
+            if skipped is None:
+                raise
+            skipped[name] = f"{type(e).__name__}: {str(e).splitlines()[0][:200]}"
+            return name, None
 
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        parts = list(pool.map(run, jobs))
+        parts = [part for name, part in list(pool.map(run, jobs)) if name not in (skipped or ())]
+    if not parts:
+        raise RuntimeError(f"no model could be fitted: {skipped}")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -61,13 +81,6 @@ def oof_scores(oof: DataFrame, label: str = "price") -> DataFrame:
                                     F.count(F.lit(1)).alias("n"))
 
 
-def fold_scores(oof: DataFrame, label: str = "price") -> DataFrame:
-    """Per-fold SMAPE and their mean, per model (rows 47, 80)."""
-    per = oof.groupBy("model", "fold").agg(smape("prediction", label).alias("smape"))
-    return per.groupBy("model").agg(F.avg("smape").alias("mean_smape"),
-                                    F.sort_array(F.collect_list(F.struct("fold", "smape"))).alias("folds"))
-
-
 def oof_matrix(oof: DataFrame, models: list[str], label: str = "price") -> DataFrame:
     """One row per id, one column per model (row 43): a pivot with the model
     list given, so Spark does not have to discover it."""
@@ -90,6 +103,8 @@ def tune(est: Estimator, grid_param, values: list[float], train: DataFrame, fold
          parallelism: int = 8, k: int = 5):
     """CrossValidator over the given fold column scored by SMAPE; refits the
     best setting on all rows (rows 80-82)."""
+    cols = [est.getOrDefault("featuresCol"), est.getOrDefault("labelCol"), fold_col]
+    train = fit_table(train.select(*cols), 8 * _width(train, cols[0]) + 64)
     # the estimator's own parameter: a class attribute belongs to no instance and would be ignored
     grid = ParamGridBuilder().addGrid(est.getParam(grid_param.name), values).build()
     cv = CrossValidator(estimator=est, estimatorParamMaps=grid, evaluator=SmapeEvaluator(),

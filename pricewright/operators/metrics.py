@@ -57,8 +57,3 @@ def prediction_summary(df: DataFrame, pred: str = "price") -> DataFrame:
         F.avg(pred).alias("mean"),
         F.stddev_pop(pred).alias("std"),
     )
-
-
-def finite(c: str | Column) -> Column:
-    x = col_of(c)
-    return x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf")))

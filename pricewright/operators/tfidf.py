@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..functions.counting import term_count_rows
-from ..session import BROADCAST_MAX_ROWS
+from ..session import BROADCAST_MAX_ROWS, cut_lineage
 
 
 @dataclass(frozen=True)
@@ -126,7 +126,7 @@ def n_docs_of(docs: DataFrame, id_col: str = "sample_id") -> Column:
 def fit_transform(train: DataFrame, others: list[DataFrame], text: str | Column, p: TfidfParams,
                   id_col: str = "sample_id"):
     """Fit on ``train``; return (vocabulary, weights of train, weights of each other set)."""
-    tf_train = term_counts(train, text, p.analyzer, id_col).persist()  # feeds the fit and the transform
+    tf_train = cut_lineage(term_counts(train, text, p.analyzer, id_col))  # feeds the fit and the transform
     vocab = fit_vocabulary(tf_train, n_docs_of(train, id_col), p)
     outs = [transform(tf_train, vocab, p, id_col)]
     for o in others:

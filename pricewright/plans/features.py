@@ -20,7 +20,9 @@ from ..functions import numeric as N
 from ..functions import text as tx
 from ..operators import decompose, scale, select, tfidf
 from ..operators.visual import VisualBlock, visual_dim, visual_join
+from ..session import BROADCAST_MAX_ROWS, cut_lineage
 
+# Fixed values (must equal the reference): settings of the two vectorisers.
 WORD = tfidf.TfidfParams(tfidf.Analyzer("word", 1, 2, stop_words=True), min_df=5, max_df=0.8,
                          max_features=15000, prefix="w:")
 CHAR = tfidf.TfidfParams(tfidf.Analyzer("char_wb", 2, 4), min_df=8, max_df=0.8, max_features=5000, prefix="c:")
@@ -57,6 +59,9 @@ def text_blocks(train: DataFrame, test: DataFrame, text, cfg: FeatureConfig):
 
 
 def svd_block(train: DataFrame, test: DataFrame, text, cfg: FeatureConfig):
+    most = sum(p.max_features or BROADCAST_MAX_ROWS + 1 for p in (cfg.word, cfg.char) if p is not None)
+    if most > BROADCAST_MAX_ROWS:
+        raise ValueError(f"max_features of the text blocks must not exceed {BROADCAST_MAX_ROWS} together")
     vocab, xtr, xte = text_blocks(train, test, text, cfg)
     model = decompose.fit_truncated_svd(xtr, vocab, cfg.svd_k, n_iter=cfg.svd_iter)
     k = model.components.shape[0]
@@ -70,12 +75,13 @@ def svd_block(train: DataFrame, test: DataFrame, text, cfg: FeatureConfig):
 
 
 def stats_block(train: DataFrame, test: DataFrame, text):
+    """The statistics read every text once: five numbers a row are stored, the
+    fit and the output read those."""
     names = list(tx.TEXT_STATS)
-    tr = train.select("*", *tx.text_stats(text))
-    te = test.select("*", *tx.text_stats(text))
+    tr, te = (cut_lineage(df.select("sample_id", *tx.text_stats(text))) for df in (train, test))
     sc = scale.fit_standard(tr, names)
-    arr = F.array(*[sc.column(c) for c in names])
-    return sc, tr.withColumn("stats", arr).drop(*names), te.withColumn("stats", arr).drop(*names)
+    arr = F.array(*[sc.column(c) for c in names]).alias("stats")
+    return (sc, train.join(tr.select("sample_id", arr), "sample_id"), test.join(te.select("sample_id", arr), "sample_id"))
 
 
 def structured_block(train: DataFrame, test: DataFrame, exclude):
@@ -113,13 +119,14 @@ def build_features(train: DataFrame, test: DataFrame, vis: DataFrame | None, cfg
     rs, cols, tr, te = structured_block(tr, te, cfg.exclude)
     vb, tr, te = visual_block(tr, te, vis, cfg.visual_k)
     feats = F.concat("svd", "stats", "struct", "vis")
-    tr = tr.withColumn("features", N.zero_nonfinite_array(feats))
-    te = te.withColumn("features", N.zero_nonfinite_array(feats))
+    out_cols = [c for c in ("sample_id", "price", "cv_fold", "fold") if c in tr.columns]
+    tr = tr.select(*out_cols, N.zero_nonfinite_array(feats).alias("features"))
+    te = te.select(*[c for c in out_cols if c in te.columns], N.zero_nonfinite_array(feats).alias("features"))
     label = F.col("price") if "price" in tr.columns else F.lit(None)
-    tr = tr.filter(N.all_finite("features") & N.is_finite(label))
+    # stored before the final scaler: its fit and its output read the matrix, not the texts
+    tr, te = cut_lineage(tr.filter(N.all_finite("features") & N.is_finite(label))), cut_lineage(te)
     width = svd.components.shape[0] + 5 + len(cols) + (vb.k + 1 if vb else 1)
     final = scale.fit_standard_array(tr, "features", width)
-    out_cols = [c for c in ("sample_id", "price", "cv_fold", "fold") if c in tr.columns]
     fin = N.clip_array(final.column("features"), -cfg.clip, cfg.clip)
     info = {
         "svd_k": svd.components.shape[0], "text_stats": 5, "structured": cols,

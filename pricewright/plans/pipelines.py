@@ -27,14 +27,14 @@ from ..functions import text as tx
 from ..functions.hashing import fold_of
 from ..functions.numeric import price_floor
 from ..operators import ensemble as E
-from ..operators import metrics as M
 from ..operators import regress as R
 from ..operators import select as S
 from ..operators import tfidf as T
-from ..session import cut_lineage
+from ..operators.sinks import write_run_metadata, write_submission
+from ..session import cut_lineage, fit_table
 from ..sources.tables import catalog, read_table, train_test
 from ..sources.visual import visual_features
-from .features import FeatureConfig, build_features, stats_block, structured_block, visual_block
+from .features import FeatureConfig, build_features
 
 K_FOLDS = 5
 
@@ -45,7 +45,6 @@ class RunConfig:
     rf_trees: int | None = None  # set counts outright (checks: 20)
     gbt_rounds: int | None = None
     features: FeatureConfig = field(default_factory=FeatureConfig)
-    light: bool = False  # True: no text SVD block (stats ‖ structured ‖ visual)
     fit_stacker_on: str = "oof"  # "oof" or "in_sample" (the reference's choice)
     parallelism: int = 8
     models: tuple[str, ...] | None = None  # subset of base_models() names
@@ -59,55 +58,39 @@ def inputs(spark: SparkSession, sf: str):
     return train, test, vis
 
 
-def light_features(train: DataFrame, test: DataFrame, vis: DataFrame):
-    """Text statistics ‖ structured ‖ visual block (no TF-IDF / SVD)."""
-    from .features import NOT_FEATURES
-
-    text = F.coalesce(F.col("catalog_content"), F.lit(""))
-    keep = [c for c in train.columns if c != "embedding"]
-    tr, te = train.select(*keep), test.select(*[c for c in keep if c in test.columns])
-    _, tr, te = stats_block(tr, te, text)
-    _, cols, tr, te = structured_block(tr, te, NOT_FEATURES)
-    vb, tr, te = visual_block(tr, te, vis, None)
-    feats = F.concat("stats", "struct", "vis")
-    out = [c for c in ("sample_id", "price", "cv_fold", "fold") if c in tr.columns]
-    return (tr.select(*out, feats.alias("features")),
-            te.select(*[c for c in out if c in te.columns], feats.alias("features")),
-            {"structured": cols, "width": 5 + len(cols) + vb.k + 1})
-
-
 def prepare(spark: SparkSession, sf: str, cfg: RunConfig):
     train, test, vis = inputs(spark, sf)
-    if cfg.light:
-        a, b, info = light_features(train, test, vis)
-    else:
-        a, b, info = build_features(train, test, vis, cfg.features)
-    a = cut_lineage(E.with_vector(a))
-    b = cut_lineage(E.with_vector(b))
-    return a, b, info
-
+    a, b, info = build_features(train, test, vis, cfg.features)
+    size = 8 * info["width"] + 64
+    return fit_table(E.with_vector(a).drop("features"), size), fit_table(E.with_vector(b).drop("features"), size), info
 
-def _predict_all(models: dict, fit_df: DataFrame, pred_df: DataFrame, parallelism: int) -> DataFrame:
-    def run(item):
-        name, est = item
-        return est.fit(fit_df).transform(pred_df).select("sample_id", F.lit(name).alias("model"), "prediction")
 
+def fit_all(models: dict, fit_df: DataFrame, parallelism: int) -> dict:
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        parts = list(pool.map(run, models.items()))
+        return dict(zip(models, pool.map(lambda est: est.fit(fit_df), models.values())))
+
+
+def predict_all(fitted: dict, pred_df: DataFrame) -> DataFrame:
+    parts = [m.transform(pred_df).select("sample_id", F.lit(name).alias("model"), "prediction") for name, m in fitted.items()]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return cut_lineage(out)
 
 
-def run_stacked(spark: SparkSession, sf: str, cfg: RunConfig | None = None) -> dict:
+def run_stacked(spark: SparkSession, sf: str, cfg: RunConfig | None = None, out: str | None = None) -> dict:
+    """The whole stacked run.  Members that cannot be fitted are reported in
+    ``meta["skipped"]``.  With ``out``, the submission, the metadata and the
+    fitted models are written below that folder."""
     cfg = cfg or RunConfig()
     a, b, info = prepare(spark, sf, cfg)
     models = R.base_models(cfg.tree_scale, cfg.rf_trees, cfg.gbt_rounds)
     if cfg.models:
         models = {k: v for k, v in models.items() if k in cfg.models}
+    skipped: dict[str, str] = {}
+    oof = E.oof_predictions(a, models, k=K_FOLDS, parallelism=cfg.parallelism, skipped=skipped)
+    models = {k: v for k, v in models.items() if k not in skipped}
     names = list(models)
-    oof = E.oof_predictions(a, models, k=K_FOLDS, parallelism=cfg.parallelism)
     base_scores = {r["model"]: r["smape"] for r in E.oof_scores(oof).collect()}  # one row per model
 
     # stacker: candidates scored by their own out-of-fold SMAPE on the OOF matrix
@@ -121,11 +104,12 @@ def run_stacked(spark: SparkSession, sf: str, cfg: RunConfig | None = None) -> d
     best = min(order, key=lambda m: (st_scores[m], order.index(m)))  # earlier wins ties
 
     # refit bases on all rows, predict test; stacker on OOF (default) or in-sample
-    test_preds = _predict_all(models, a, b, cfg.parallelism)
+    fitted = fit_all(models, a, cfg.parallelism)
+    test_preds = predict_all(fitted, b)
     test_mat = test_preds.groupBy("sample_id").pivot("model", names).agg(F.first("prediction"))
     test_mat = test_mat.withColumn("sv", array_to_vector(F.array(*[F.col(m) for m in names])))
     if cfg.fit_stacker_on == "in_sample":
-        ins = _predict_all(models, a, a, cfg.parallelism)
+        ins = predict_all(fitted, a)
         fit_mat = ins.groupBy("sample_id").pivot("model", names).agg(F.first("prediction")).join(
             a.select("sample_id", "price"), "sample_id")
         fit_mat = fit_mat.withColumn("sv", array_to_vector(F.array(*[F.col(m) for m in names])))
@@ -135,17 +119,24 @@ def run_stacked(spark: SparkSession, sf: str, cfg: RunConfig | None = None) -> d
     pred = stacker.transform(test_mat).select("sample_id", price_floor("prediction").alias("prediction"))
     submission = pred.select("sample_id", F.col("prediction").alias("price"))
     meta = {
-        "base_models": names, "cv_scores": base_scores, "stacker": best, "stacker_scores": st_scores,
+        "base_models": names, "skipped": skipped, "cv_scores": base_scores, "stacker": best, "stacker_scores": st_scores,
         "n_train": a.count(), "n_test": b.count(), "n_features": info["width"],
         "feature_info": {k: v for k, v in info.items() if k != "singular_values"},
     }
-    return {"train": a, "test": b, "oof": oof, "oof_matrix": mat, "stacker_oof": st_oof, "test_preds": test_preds,
+    if out:
+        write_submission(pred, f"{out}/submission")
+        write_run_metadata(spark, meta, f"{out}/metadata")
+        for name, m in {**fitted, f"stacker-{best}": stacker}.items():
+            m.write().overwrite().save(f"{out}/models/{name}")
+    return {"train": a, "test": b, "oof": oof, "skipped": skipped, "fitted": fitted, "oof_matrix": mat, "stacker_oof": st_oof, "test_preds": test_preds,
             "test_matrix": test_mat, "submission": submission, "meta": meta, "stacker_model": stacker}
 
 
 # ---- text pipeline -----------------------------------------------------------------------------
 
-TEXT_PARAMS = T.TfidfParams(T.Analyzer("word", 1, 2, stop_words=True), min_df=3, max_df=0.9, max_features=20000)
+# Fixed values (must equal the reference): vectoriser settings and search grids.
+TEXT_PARAMS = T.TfidfParams(T.Analyzer("word", 1, 2, stop_words=True, strip_accents=False), min_df=3, max_df=0.98,
+                            max_features=20000)
 RIDGE_ALPHAS = [10 ** (-3 + 6 * i / 7) for i in range(8)]  # 8 values log-spaced over 1e-3 … 1e3
 L1_RATIOS = [0.05, 0.15, 0.3, 0.5]
 
@@ -189,10 +180,10 @@ def text_matrices(train: DataFrame, test: DataFrame, params: T.TfidfParams = TEX
     return va.transform(tr).select(*keep, "fv"), va.transform(te).select(*[c for c in keep if c in te.columns], "fv")
 
 
-def run_text_models(spark: SparkSession, sf: str, alphas=None, l1_ratios=None, parallelism: int = 4) -> dict:
+def run_text_models(spark: SparkSession, sf: str, alphas=None, l1_ratios=None, parallelism: int = 8,
+                    out: str | None = None) -> dict:
     train, test, _ = inputs(spark, sf)
-    a, b = text_matrices(train, test)
-    a, b = cut_lineage(a), cut_lineage(b)
+    a, b = (cut_lineage(x) for x in text_matrices(train, test))
     # iterative solvers at the tolerance the reference's text models use (1e-4)
     ridge_cv, ridge_scores = E.tune(R.Ridge(solver="l-bfgs", maxIter=100, tol=1e-4), R.Ridge.alpha,
                                     alphas or RIDGE_ALPHAS, a, parallelism=parallelism)
@@ -203,10 +194,9 @@ def run_text_models(spark: SparkSession, sf: str, alphas=None, l1_ratios=None, p
     pred = winner.transform(b).select("sample_id", price_floor("prediction").alias("prediction"))
     summary = pred.agg(F.min("prediction").alias("min"), F.max("prediction").alias("max"),
                        F.avg("prediction").alias("mean"), F.stddev_pop("prediction").alias("std"))
+    if out:
+        write_submission(pred, f"{out}/submission")
+        winner.write().overwrite().save(f"{out}/models/best")
     return {"ridge_scores": ridge_scores, "enet_scores": enet_scores,
             "winner": "ridge" if r_best[1] <= e_best[1] else "elastic_net",
             "predictions": pred, "summary": summary, "test": b}
-
-
-def score_table(df: DataFrame, pred: str, label: str = "price") -> DataFrame:
-    return df.agg(M.smape(pred, label).alias("smape"), M.mae(pred, label).alias("mae"))

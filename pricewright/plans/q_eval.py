@@ -12,7 +12,6 @@ from ..functions.hashing import fold_of, salted, uniform01
 from ..operators import metrics as M
 from ..operators import select as S
 from ..sources.tables import catalog, read_table, train_test
-from ..sources.visual import visual_features
 from . import sqlfrag as q
 from .registry import r6, register, with_catalog
 
@@ -208,6 +207,3 @@ def q_random_baseline(spark, sf):
     _, test = train_test(catalog(spark, sf))
     u = uniform01(salted(F.col("sample_id"), 42))
     return test.select("sample_id", F.round(F.lit(5.0) + F.lit(495.0) * u, 2).alias("price"))
-
-
-__all__ = ["visual_features"]

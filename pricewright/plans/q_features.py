@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import text as tx
 from ..operators import scale
 from ..operators.visual import visual_dim, visual_join
+from ..session import cut_lineage
 from ..sources.tables import catalog, read_table, train_test
 from ..sources.visual import visual_features
 from . import sqlfrag as q
@@ -17,10 +18,10 @@ _STATS_CTE = f"st as (select sample_id, fold, {q.text_stats('catalog_content')}
 
 
 def _stats_frames(spark, sf):
-    train, test = train_test(catalog(spark, sf))
-    tr = train.select("sample_id", *tx.text_stats("catalog_content"))
-    te = test.select("sample_id", *tx.text_stats("catalog_content"))
-    return tr, te
+    # every text is read once; the fit and the output read five numbers a row
+    rows = cut_lineage(catalog(spark, sf).select("sample_id", "fold", *tx.text_stats("catalog_content")))
+    train, test = train_test(rows)
+    return train.drop("fold"), test.drop("fold")
 
 
 def _std_sql(cols: list[str], src: str) -> str:

@@ -13,11 +13,9 @@ from pyspark.sql import functions as F
 from ..operators import tfidf as T
 from ..sources.tables import catalog, train_test
 from . import sqlfrag as q
+from .features import CHAR, WORD
 from .registry import r6, register, with_catalog
 
-WORD = T.TfidfParams(T.Analyzer("word", 1, 2, stop_words=True), min_df=5, max_df=0.8, max_features=15000,
-                     prefix="w:")
-CHAR = T.TfidfParams(T.Analyzer("char_wb", 2, 4), min_df=8, max_df=0.8, max_features=5000, prefix="c:")
 TEXT = "catalog_content"
 
 

@@ -66,6 +66,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def fit_table(df: DataFrame, row_bytes: int, part_bytes: int = 32 << 20) -> DataFrame:
+    """The table that many fits read: written once to the shared folder, in
+    partitions of about ``part_bytes``.  Iterative fits run a job for each step,
+    so partitions far smaller than that only add task overhead."""
+    out = cut_lineage(df)
+    parts = max(1, -(-out.count() * row_bytes // part_bytes))
+    return out if out.rdd.getNumPartitions() <= parts else cut_lineage(out.coalesce(parts))
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 

@@ -33,8 +33,3 @@ def visual_features(df: DataFrame, id_col: str = "sample_id", vec_col: str | Non
     rows = df.select(F.col(id_col).cast("string").alias("sample_id"), vec.alias("features"), order.alias("_ord"))
     # partial aggregation keeps a hot duplicated id to one record per map task
     return rows.groupBy("sample_id").agg(F.max_by("features", "_ord").alias("features"))
-
-
-def wide_to_vectors(df: DataFrame, id_col: str, cols: list[str]) -> DataFrame:
-    return df.select(F.col(id_col).cast("string").alias("sample_id"),
-                     F.array(*[F.col(c).cast("float") for c in cols]).alias("features"))
