@@ -208,13 +208,15 @@ class Finder:
         return stored(sized.filter(_distance("sig_a", "sig_b") <= MAX_DISTANCE).select("a", "b", "n_a", "n_b"))
 
     def compared(self, pairs: DataFrame) -> DataFrame:
-        """Pairs (a, b, n_a, n_b) with the shingles of b that a lacks, on the full sets."""
+        """Pairs (a, b, n_a, n_b) with the shingles of b that a lacks, on the full sets.
+        Rows that share a rid hold one text: it makes one set, so every pair comes once."""
         nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         wanted = stored(self.classes.join(nodes, "node").select("node", "rid"))
         bucket = F.pmod(F.xxhash64("rid"), F.lit(BUCKETS))
         few = wanted.select(bucket.alias("__bucket")).distinct()  # BUCKETS rows at most
         texts = (self.docs.select("rid", "__text").withColumn("__bucket", bucket)
-                 .join(F.broadcast(few), "__bucket", "left_semi").join(wanted, "rid").select("node", "__text"))
+                 .join(F.broadcast(few), "__bucket", "left_semi").dropDuplicates(["rid"])  # repeats go before the shuffle
+                 .join(wanted, "rid").select("node", "__text"))
         sets = texts.mapInPandas(_sets(self.words), "node long, shingles binary")
         of = lambda c: sets.select(F.col("node").alias(c), F.col("shingles").alias(f"set_{c}"))
         both = pairs.join(of("b"), "b").join(of("a"), "a").withColumn("rest", _lacking("set_a", "set_b"))

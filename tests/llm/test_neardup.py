@@ -71,6 +71,28 @@ def test_copies_of_copies(spark, seed):
     assert sorted(map(tuple, got.collect()), key=repr) == expected(rows)
 
 
+def test_repeated_rows(spark):
+    """Near-copies in rows that agree in id and text, and in rows without id:
+    repeats change no component."""
+    rng = random.Random(0)
+    rows = []
+    for k, text in near_copies(0, n_groups=8):
+        rows += [(None if rng.random() < 0.4 else k, text)] * rng.choice([1, 1, 2, 7])
+    got = X.duplicate_digest(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(map(tuple, got.collect()), key=repr) == expected(rows)
+
+
+def test_one_set_for_each_class(spark):
+    """Rows that share an id and a text give one set row, so a pair is compared once."""
+    base = [f"w{k}" for k in range(60)]
+    rows = [(1, " ".join(base))] * 3 + [(None, " ".join([*base[:-1], "other"]))] * 5
+    finder = X.Finder(spark.createDataFrame(rows, "doc_id long, text string"), 2, 80)
+    a, b = [r["node"] for r in finder.classes.orderBy(finder.classes["doc_id"].isNull()).collect()]
+    n = 59
+    pairs = spark.createDataFrame([(a, b, n, n)], "a long, b long, n_a long, n_b long")
+    assert [len(r["rest"]) for r in finder.compared(pairs).collect()] == [1]
+
+
 def test_documents(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     rows = [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()]
