@@ -15,15 +15,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricewright.llm import decontam, langid, mixing, neardup, sharding
-from pricewright.llm.common import fold, table
+from pricewright.llm.common import table
 from pricewright.session import scratch_path
 
 SHARDS = 8
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents without a language (no text, or no letter in it)."""
-    model = langid.fit(docs.filter(fold(5) != 0))
+    """Rejects documents without a language (no text, or no letter in it).  Learns
+    from all labelled rows.  Where no row has a language, none can be told, and
+    only texts without a letter are rejected."""
+    model = langid.fit(docs)
+    if not model.langs:
+        return docs.filter(langid.lettered(F.col("text").cast("string")))
     kept = langid.identify(docs, model).filter(F.col("__lang") != "und")
     return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
 

@@ -27,6 +27,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import fold, slices, small_batches, text_key, uniform
 
@@ -195,6 +196,12 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
                .withColumns({"__lang": F.col("__found.lang"), "__score": F.col("__found.score")}).drop("__found")
 
 
+@F.pandas_udf(T.BooleanType())
+def lettered(texts: pd.Series) -> pd.Series:
+    """Whether a text has a letter, by the rule of ``predict``."""
+    return pd.Series([any(has_letter(WORD.findall(p.lower())) for p in slices(x or "")) for x in texts], dtype=bool)
+
+
 def langid_digest(docs: DataFrame) -> DataFrame:
     """One row a document: predicted language and score.  Learned from the
     documents outside the held-out fold."""

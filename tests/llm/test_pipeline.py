@@ -54,3 +54,17 @@ def test_edges_run_through(spark, clashing, empty, tmp_path):
             out = stage(spark, held, SF_SMALL)
             held = spark.createDataFrame(out.collect(), out.schema)
         assert set(df.columns) - {"size", "shard", "slot"} <= set(held.columns)
+
+
+def test_no_language_learned_keeps_texts_with_a_letter(spark, edge):
+    """Null langs throughout, or labels only in the fold that the query holds out, drop no text with a letter."""
+    from pyspark.sql import functions as F
+
+    unlabelled = edge.withColumn("lang", F.lit(None).cast("string"))
+    held_out = edge.withColumn("lang", F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit("en")))
+    for docs in (unlabelled, held_out):
+        kept = corpus_pipeline.identify_language(spark, docs, SF_SMALL)
+        assert kept.columns == docs.columns
+        got = sorted((r["doc_id"] or 0, r["text"]) for r in kept.collect())
+        want = [(r["doc_id"] or 0, r["text"]) for r in docs.collect() if r["text"] and any(map(str.isalpha, r["text"]))]
+        assert got == sorted(want) and got
