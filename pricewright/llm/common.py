@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage, table_path  # noqa: F401  (re-exported to the operators)
+from ..session import cut_lineage, scratch_path, table_path  # noqa: F401  (re-exported to the operators)
 
 #: Words of the size and shingle rules: runs of anything but ASCII white space.
 SPACE_WORD = r"[^\x20\x09-\x0D]+"

@@ -7,17 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import oracles
+from .chat import chat_digest
 from .common import table
 from .decontam import contamination_digest
 from .langid import langid_digest
 from .mixing import mix_digest
 from .neardup import duplicate_digest
 from .quality import quality_digest
+from .resample import resample_digest
 from .secret_scan import secret_digest
 from .sharding import shard_digest
 from .syncmers import fingerprint_digest
 from .tokencount import token_digest
 from .toxicity import toxicity_digest
+from .whitening import whitening_digest
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -42,10 +45,16 @@ QUERIES: dict[str, QueryFn] = {
     "op8_mixing": on_documents(mix_digest),
     "op9_quality": on_labelled(quality_digest),
     "op10_sharding": on_documents(shard_digest),
+    "op11_resampling": lambda spark, sf_dir: resample_digest(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")),
+    "op12_whitening": lambda spark, sf_dir: whitening_digest(table(spark, sf_dir, "embeddings")),
+    "op13_chat": lambda spark, sf_dir: chat_digest(table(spark, sf_dir, "conversations")),
 }
 
 ORACLE: dict[str, str] = {
     "op2_decontamination": oracles.DECONTAMINATION,
     "op8_mixing": oracles.MIXING,
     "op10_sharding": oracles.SHARDING,
+    "op11_resampling": oracles.RESAMPLING,
+    "op13_chat": oracles.CHAT,
 }
