@@ -10,9 +10,9 @@ id, turns the weights into a draw without replacement.
 states of the word and of the word after a space, the most frequent pairs with
 their exact CRC and bucket.  CRC-32 is linear, so the CRC of a run of head words
 follows from the states: shift the CRC of the first words by the length of the
-last, and add the last word's.  A feature with a word outside the head takes the
-CRC of its own bytes.  Both ways give the same number; the head only decides how
-fast.  It is found over all documents: each task counts words and pairs in
+last, and add the last word's.  A feature that ends with a word outside the head
+takes the CRC of its bytes, on from the register of the words before.  Both ways
+give the same number; the head only decides how fast.  It is found over all documents: each task counts words and pairs in
 bounded counters, the counts are summed by Spark.
 
 Bounds: ``HEAD`` words and ``HEAD`` pairs are broadcast; a task counts ``HELD``
@@ -115,9 +115,10 @@ class Head:
     def __init__(self, words: list[bytes], pairs: list[bytes]):
         words = [w for w in words if len(w) <= HEAD_BYTES]
         self.ids = {w: k for k, w in enumerate(words)}
-        self.crc = np.array([zlib.crc32(w) for w in words], np.uint32)
-        self.spaced = np.array([zlib.crc32(b" " + w) for w in words], np.uint32)
-        self.length = np.array([len(w) + 1 for w in words], np.int64)
+        # the last row stands for unseen words (id -1)
+        self.crc = np.array([zlib.crc32(w) for w in words] + [0], np.uint32)
+        self.spaced = np.array([zlib.crc32(b" " + w) for w in words] + [0], np.uint32)
+        self.length = np.array([len(w) + 1 for w in words] + [0], np.int64)
         self.bits = max(1, 2 * len(pairs)).bit_length()
         self.pair = np.full(1 << self.bits, -1, np.int64)
         self.pair_crc = np.zeros(1 << self.bits, np.uint32)
@@ -145,34 +146,27 @@ class Buckets:
         """(places of the last words, buckets) for features of 1, 2 and 3 words."""
         h, n = self.head, len(words)
         ids = np.fromiter(map(h.ids.get, words, repeat(-1)), np.int64, n)
-        known = ids >= 0
-        crc = np.zeros(n, np.uint32)  # of the feature that ends here
-        crc[known] = h.crc[ids[known]] if len(h.crc) else 0
-        tail = np.flatnonzero(~known)
-        crc[tail] = [zlib.crc32(words[i]) for i in tail]
+        tail = np.flatnonzero(ids < 0)
+        unseen = [words[i] for i in tail]
+        crc = h.crc[ids]  # of the feature that ends here
+        crc[tail] = [zlib.crc32(w) for w in unseen]
         yield np.arange(n), (crc % BUCKETS).astype(np.int64)
-        head_run = known
-        for length in range(2, LONGEST + 1):
-            last = np.flatnonzero(before >= length - 1)
-            run = np.zeros(n, bool)
-            run[1:] = head_run[:-1] & known[1:]
-            here = last[run[last]]
-            longer, bucket = np.zeros(n, np.uint32), np.zeros(n, np.int64)
-            slow = here
-            if length == 2 and len(here):
-                key = ids[here - 1] * len(h.ids) + ids[here]
+        unseen = [b" " + w for w in unseen]
+        length, spaced = h.length[ids], h.spaced[ids]
+        for more in range(1, LONGEST):
+            # head words by their states; an unseen word directly, on from the register of the words before it
+            longer = np.zeros(n, np.uint32)
+            longer[1:] = shifted(self.tables, crc[:-1], length[1:]) ^ spaced[1:]
+            longer[tail] = [zlib.crc32(w, c) for w, c in zip(unseen, crc[tail - 1].tolist())]
+            bucket = (longer % BUCKETS).astype(np.int64)
+            if more == 1 and n > 1:
+                key = np.where((ids[:-1] >= 0) & (ids[1:] >= 0), ids[:-1] * len(h.ids) + ids[1:], -2)
                 at = h.place(key)
-                hit = h.pair[at] == key
-                longer[here[hit]], bucket[here[hit]] = h.pair_crc[at[hit]], h.pair_bucket[at[hit]]
-                slow = here[~hit]
-            if len(slow):
-                longer[slow] = shifted(self.tables, crc[slow - 1], h.length[ids[slow]]) ^ h.spaced[ids[slow]]
-                bucket[slow] = longer[slow] % BUCKETS
-            tail = last[~run[last]]
-            longer[tail] = [zlib.crc32(b" ".join(words[i - length + 1:i + 1])) for i in tail]
-            bucket[tail] = longer[tail] % BUCKETS
+                hit = np.flatnonzero(h.pair[at] == key)
+                longer[hit + 1], bucket[hit + 1] = h.pair_crc[at[hit]], h.pair_bucket[at[hit]]
+            last = np.flatnonzero(before >= more)
             yield last, bucket[last]
-            crc, head_run = longer, run
+            crc = longer
 
 
 def _pruned(held: Counter) -> Counter:
@@ -206,9 +200,20 @@ def find_head(docs: DataFrame, size: int = HEAD) -> Head:
     counts = docs.select(filled().alias("text")).mapInPandas(_count_head, "kind int, item binary, n long")
     summed = cut_lineage(counts.groupBy("kind", "item").agg(F.sum("n").alias("n")))
 
+    # A top-k would send k rows a partition to the driver.  Counts are binned instead
+    # (64 bins a doubling), and the highest bins that hold ``size`` items at most are taken.
+    level = F.floor(F.log2("n") * 64).cast("int")
+    bins = summed.groupBy("kind", level.alias("level")).agg(F.count("*").alias("n")).collect()
+
     def top(kind: int) -> list[bytes]:
-        rows = summed.filter(F.col("kind") == kind).orderBy(F.desc("n"), "item").limit(size).select("item")
-        return [bytes(r["item"]) for r in rows.collect()]
+        held, least = 0, 1 << 30
+        for r in sorted((r for r in bins if r["kind"] == kind), key=lambda r: -r["level"]):
+            held += r["n"]
+            if held > size:
+                break
+            least = r["level"]
+        rows = summed.filter((F.col("kind") == kind) & (level >= least)).select("item", "n").collect()  # ``size`` at most
+        return [bytes(r["item"]) for r in sorted(rows, key=lambda r: (-r["n"], r["item"]))]
 
     return Head(top(1), top(2))
 
@@ -278,8 +283,9 @@ def ranked(rows: DataFrame, order: list) -> DataFrame:
 
 
 def resample(docs: DataFrame, target: DataFrame, percent: int = 5, least_words: int = 20, seed: int = 42,
-             head_size: int = HEAD) -> DataFrame:
-    """The documents' columns with ``n_features``, ``weight``, ``score`` and
+             head_size: int = HEAD, keep: list[str] | None = None) -> DataFrame:
+    """The documents' columns (those of ``keep``, all by default: they travel
+    with the ranks) with ``n_features``, ``weight``, ``score`` and
     ``rank``: the floor(percent * N / 100) highest scores of the N documents of
     at least ``least_words`` words, numbered from 1; null for all others."""
     spark = docs.sparkSession
@@ -294,7 +300,7 @@ def resample(docs: DataFrame, target: DataFrame, percent: int = 5, least_words:
             yield weigh(texts, hashing, gain)
 
     drawn = F.sha2(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))).cast("binary"), 256)
-    names = [c for c in docs.columns if c.lower() not in ("n_features", "weight", "score", "rank")]
+    names = [c for c in keep or docs.columns if c.lower() not in ("n_features", "weight", "score", "rank")]
     # the input row travels as one struct, so no name of it can clash with a helper's
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col("doc_id").alias("id"),
                        gumbel(F.conv(F.substring(drawn, 1, 8), 16, 10).cast("long")).alias("noise"), weighed(filled()).alias("w"))
@@ -308,5 +314,5 @@ def resample(docs: DataFrame, target: DataFrame, percent: int = 5, least_words:
 
 def resample_digest(docs: DataFrame, target: DataFrame) -> DataFrame:
     """One row a document: features, weight, score and rank."""
-    return resample(docs.select("doc_id", "text"), target.select("text")).select(
+    return resample(docs.select("doc_id", "text"), target.select("text"), keep=["doc_id"]).select(
         "doc_id", "n_features", "weight", "score", "rank")

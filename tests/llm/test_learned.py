@@ -2,6 +2,8 @@
 
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from pricewright.llm import langid, quality, secret_scan, toxicity
 
@@ -32,6 +34,56 @@ def test_language_backoff_of_unseen_words():
     assert langid.predict(langid.Rows(model), "zzz") == ("a", 0.5)  # nothing known: first by code point
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet=st.one_of(st.characters(), st.sampled_from("aé_ 1²½٣ǅİß-'\u00a0\u3000東"))))
+def test_words_by_tables_are_the_pattern(text):
+    assert langid.find_words(text.replace("\ud800", "")) == langid.WORD.findall(text.replace("\ud800", "").lower())
+
+
+def test_memory_changes_no_score():
+    """Whatever a task remembers, a word has the row that the plain rule gives."""
+    rng = np.random.default_rng(0)
+    known = sorted({"".join(rng.choice(list("abc"), 3)) for _ in range(12)})
+    pieces = sorted({g for w in known for n in langid.GRAM_LENGTHS for g in langid.grams(w, n)})[::2]
+    model = langid.Model(["x", "y", "z"], (known, rng.integers(0, 9, (len(known), 3))), (pieces, rng.integers(0, 9, (len(pieces), 3))),
+                         {"words": {"x": 50, "y": 40, "z": 30}, "grams": {"x": 90, "y": 80, "z": 70}})
+
+    def plain(word):
+        if word in model.words:
+            return model.table[model.words[word]]
+        for n in langid.GRAM_LENGTHS:
+            rows = [model.table[model.grams[g]].astype(float) for g in langid.grams(word, n) if g in model.grams]
+            if rows:
+                return sum(rows) / len(rows)
+        return np.zeros(3)
+
+    texts = [" ".join("".join(rng.choice(list("abcd"), rng.integers(1, 6))) for _ in range(rng.integers(1, 60))) for _ in range(80)]
+    rows = langid.Rows(model, held=20)
+    for at in range(0, 80, 7):
+        langs, scores = langid.predict_all(rows, texts[at:at + 7])
+        for text, lang, score in zip(texts[at:at + 7], langs, scores):
+            sums = sum(plain(w) for w in text.split())
+            p = np.exp(sums - sums.max())
+            assert lang == model.langs[int(sums.argmax())] and abs(score - p.max() / p.sum()) < 1e-4
+
+
+def test_small_languages_keep_their_words(spark):
+    """A language with a few documents beside one with many."""
+    rng = np.random.default_rng(1)
+
+    def text(first, n):
+        return " ".join(first + "".join(rng.choice(list("bcdfgh"), 5)) for _ in range(n))
+
+    rows = [(k, text("o", 200), "big") for k in range(300)] + [(1000 + k, text("u", 40), "small") for k in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(docs, max_words=400, max_grams=400)
+    mine = [w for w in model.words if w.startswith("u")]
+    assert len(mine) >= 150 and len(model.words) <= 440
+    test = [text("o", 3) for _ in range(50)] + [text("u", 3) for _ in range(50)]
+    got, _ = langid.predict_all(langid.Rows(model), test)
+    assert np.mean([a == b for a, b in zip(got, ["big"] * 50 + ["small"] * 50)]) > 0.95
+
+
 def test_quality(docs, labels):
     got = quality.quality_digest(docs, labels).join(labels, "doc_id").filter("held_out").collect()
     assert np.mean([r["predicted"] == r["quality"] for r in got]) > 0.93

@@ -23,9 +23,12 @@ def test_stages(spark):
         if name != "sharding":
             assert held.columns == columns
         held = spark.createDataFrame(rows, held.schema)
+    from pricewright.llm import langid
+
     start = docs.collect()
+    lang, score = langid.predict_all(langid.Rows(langid.fit(docs)), [r["text"] for r in start])
     assert sorted(r["doc_id"] for r in results["language_id"]) == sorted(
-        r["doc_id"] for r in start if any(c.isalpha() for c in r["text"]))
+        r["doc_id"] for r, x, p in zip(start, lang, score) if x != "und" and p > 0.5)
     kept = {i for i, _, _, keep in expected([(r["doc_id"], r["text"]) for r in results["language_id"]], n=5) if keep}
     assert {r["doc_id"] for r in results["near_dedup"]} == kept and len(results["near_dedup"]) == len(kept)
     assert {r["doc_id"] for r in results["decontamination"]} <= kept
@@ -68,3 +71,14 @@ def test_no_language_learned_keeps_texts_with_a_letter(spark, edge):
         got = sorted((r["doc_id"] or 0, r["text"]) for r in kept.collect())
         want = [(r["doc_id"] or 0, r["text"]) for r in docs.collect() if r["text"] and any(map(str.isalpha, r["text"]))]
         assert got == sorted(want) and got
+
+
+def test_the_model_decides_the_language(spark):
+    """Unwanted languages go, and so does a text that no language explains better than the others."""
+    rows = [(k, "the river and the stone of a house" if k % 2 else "la maison et le fleuve de pierre", "en" if k % 2 else "fr") for k in range(40)]
+    rows += [(100, "the stone house", None), (101, "la maison de pierre", None), (102, "\u4e1c\u4eac\u4e1c", None), (103, "12 !", None)]
+    docs = spark.createDataFrame([(i, t, x, "a", len(t)) for i, t, x in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    ids = {r["doc_id"] for r in corpus_pipeline.identify_language(spark, docs, SF_SMALL).collect()}
+    assert ids == set(range(40)) | {100, 101}
+    ids = {r["doc_id"] for r in corpus_pipeline.identify_language(spark, docs, SF_SMALL, wanted=("en",)).collect()}
+    assert ids == set(range(1, 40, 2)) | {100}
