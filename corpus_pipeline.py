@@ -21,15 +21,21 @@ from pricewright.session import scratch_path
 SHARDS = 8
 
 
-def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents without a language (no text, or no letter in it).  Learns
-    from all labelled rows.  Where no row has a language, none can be told, and
-    only texts without a letter are rejected."""
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str, wanted: tuple[str, ...] | None = None,
+                      more_than: float = 0.5) -> DataFrame:
+    """Keeps the documents whose predicted language is wanted (by default: any
+    that was learned) and more likely than all others together.  The model
+    learns from all labelled rows.  Texts without a letter have no language.
+    Where no row has a language none can be told, and only those are rejected."""
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text")
     model = langid.fit(docs)
     if not model.langs:
-        return docs.filter(langid.lettered(F.col("text").cast("string")))
-    kept = langid.identify(docs, model).filter(F.col("__lang") != "und")
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+        kept = row.filter(langid.lettered(F.col("text").cast("string")))
+    else:
+        kept = langid.identify(row, model).filter(F.col("__lang").isin(*(wanted or model.langs)) & (
+            (F.col("__score") > more_than) | F.lit(len(model.langs) == 1)))
+        kept = kept.filter(F.col("__lang") != "und")
+    return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
