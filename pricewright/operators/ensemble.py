@@ -1,78 +1,137 @@
 """Model selection and ensembles (rows 43, 47, 56, 58, 80-90).
 
 Predictions are always keyed by ``sample_id``: fold outputs are unioned per
-model and models meet by id (a pivot), never by row position.  Fits for
-different (model, fold) pairs are independent Spark jobs submitted from a few
-driver threads, as ``CrossValidator(parallelism=…)`` does.
+model and models meet by id (a pivot), never by row position.  Linear members
+share one pass for the Gram tables of all folds, tree members share their binned
+table and every level's job; other estimators are fitted as independent Spark
+jobs from a few driver threads, as ``CrossValidator(parallelism=…)`` does.
 """
 
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
-from pyspark.ml import Estimator
+from pyspark.ml import Estimator, Model
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage, fit_table
-from .metrics import smape_drop_zero
-from .regress import SmapeEvaluator
+from . import linear as L
+from . import trees as T
+from .metrics import smape, smape_drop_zero
+from .regress import ElasticNet, Ridge, SmapeEvaluator
 
 
 def with_vector(df: DataFrame, arr: str = "features", out: str = "fv") -> DataFrame:
     return df.withColumn(out, array_to_vector(F.col(arr)))
 
 
+def fit_folds(train: DataFrame, models: dict[str, Estimator], fold_col: str | None, folds: list[int], parallelism: int = 4
+              ) -> dict[tuple[str, int], Model | Exception]:
+    """Every model fitted without each of the folds (-1: on all rows); an
+    exception where a fit failed."""
+    out: dict[tuple[str, int], Model | Exception] = {}
+    dense = {n: m for n, m in models.items() if type(m) in (Ridge, ElasticNet) and _has_gram(train, m)}
+    forests = {n: m for n, m in models.items() if type(m) is T.TreeEnsemble}
+    rest = [(n, f) for n in models if n not in dense and n not in forests for f in folds]
+
+    def columns(m: Estimator) -> tuple[str, str]:
+        return m.getOrDefault("featuresCol"), m.getOrDefault("labelCol")
+
+    for cols in sorted({columns(m) for m in dense.values()}):
+        mine = {n: m for n, m in dense.items() if columns(m) == cols}
+        try:
+            tables = L.gram_tables(train, *cols, T.vector_width(train, cols[0]), fold_col)
+            for n, m in mine.items():
+                for f in folds:
+                    try:
+                        out[n, f] = m.wrap(train, *m.solve(L.without_fold(tables, f if f >= 0 else -2)))
+                    except Exception as e:
+                        out[n, f] = e
+        except Exception as e:
+            out |= {(n, f): e for n in mine for f in folds}
+    for cols in sorted({columns(m) for m in forests.values()}):
+        mine = {n: m for n, m in forests.items() if columns(m) == cols}
+        try:
+            out |= T.fit_folds(train, mine, fold_col, folds)
+        except Exception as together:
+            if len(mine) == 1:
+                out |= {(n, f): together for n in mine for f in folds}
+            for n, m in mine.items() if len(mine) > 1 else ():  # one of them fails: the others go on
+                try:
+                    out |= T.fit_folds(train, {n: m}, fold_col, folds)
+                except Exception as e:
+                    out |= {(n, f): e for f in folds}
+
+    def run(job):
+        name, f = job
+        try:
+            return models[name].fit(train if f < 0 else train.filter(F.col(fold_col) != f))
+        except Exception as e:
+            return e
+
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        out |= dict(zip(rest, pool.map(run, rest)))
+    return out
+
+
+def _has_gram(train: DataFrame, m: Estimator) -> bool:
+    if isinstance(m, Ridge) and m.getOrDefault("solver") != "normal":
+        return False
+    return 0 < T.vector_width(train, m.getOrDefault("featuresCol")) <= L.MAX_WIDTH
+
+
+def reason(e: Exception) -> str:
+    return f"{type(e).__name__}: {(str(e).splitlines() or [''])[0][:200]}"
+
+
 def _width(df: DataFrame, vec: str) -> int:
     """Numbers that a vector column stores in a row, by its first row."""
     row = df.select(vec).first()
     return 0 if row is None or row[0] is None else len(row[0].values if hasattr(row[0], "indices") else row[0])
 
 
-def _fit_predict(est: Estimator, fit_df: DataFrame, pred_df: DataFrame, name: str, label: str) -> DataFrame:
-    model = est.fit(fit_df)
-    cols = ["sample_id", "prediction"] + ([label] if label in pred_df.columns else [])
-    out = model.transform(pred_df).select(*cols).withColumn("model", F.lit(name))
-    return out
-
-
 def oof_predictions(train: DataFrame, models: dict[str, Estimator], fold_col: str = "cv_fold", k: int = 5,
                     label: str = "price", parallelism: int = 4, skipped: dict[str, str] | None = None) -> DataFrame:
     """(sample_id, model, prediction, price): every training row predicted by a
     model fitted without its fold (row 84); the union over folds covers every
     row exactly once per model (row 58).
 
-    A member that fails is an error, unless ``skipped`` is given: it then gets
-    the member's name and reason, and the others go on; none left is an error."""
-    jobs = [(name, est, f) for name, est in models.items() for f in range(k)]
+    A member that fails, while it is fitted or while it predicts, is an error,
+    unless ``skipped`` is given: it then gets the member's name and reason, and
+    the others go on; none left is an error."""
     vectors = sorted({est.getOrDefault("featuresCol") for est in models.values()})
     width = sum(_width(train, v) for v in vectors)
     train = fit_table(train.select("sample_id", fold_col, label, *vectors), 8 * width + 64)
-
-    def run(job):
-        name, est, f = job
+    fitted = fit_folds(train, models, fold_col, list(range(k)), parallelism)
+    parts = []
+    for name in models:
         try:
-            fit_df = train.filter(F.col(fold_col) != f)
-            part = _fit_predict(est, fit_df, train.filter(F.col(fold_col) == f), name, label)
-            return name, part.withColumn("fold", F.lit(f))
+            mine = [fitted[name, f] for f in range(k)]
+            for m in mine:
+                if isinstance(m, Exception):
+                    raise m
+            out = None
+            for f, m in enumerate(mine):
+                part = m.transform(train.filter(F.col(fold_col) == f)).select(
+                    "sample_id", "prediction", label, F.lit(name).alias("model"), F.lit(f).alias("fold"))
+                out = part if out is None else out.unionByName(part)
+            # one reliable checkpoint a member: a failure while predicting shows here,
+            # and later steps do not carry a long union lineage
+            parts.append(cut_lineage(out))
         except Exception as e:
             if skipped is None:
                 raise
-            skipped[name] = f"{type(e).__name__}: {str(e).splitlines()[0][:200]}"
-            return name, None
-
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        parts = [part for name, part in list(pool.map(run, jobs)) if name not in (skipped or ())]
+            skipped[name] = reason(e)
     if not parts:
         raise RuntimeError(f"no model could be fitted: {skipped}")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    # one reliable checkpoint in the shared folder: the 5·k transforms run once
-    # and later steps do not carry a long union lineage
-    return cut_lineage(out)
+    return out
 
 
 def oof_scores(oof: DataFrame, label: str = "price") -> DataFrame:
@@ -99,12 +158,26 @@ def best_by_score(scores: DataFrame, order_col: str = "position") -> DataFrame:
     return scores.orderBy(F.col("smape").asc(), F.col(order_col).asc()).limit(1)
 
 
+@dataclass
+class Tuned:
+    """The model with the best value, refitted on all rows."""
+
+    bestModel: Model
+    avgMetrics: list[float]
+
+
 def tune(est: Estimator, grid_param, values: list[float], train: DataFrame, fold_col: str = "cv_fold",
          parallelism: int = 8, k: int = 5):
-    """CrossValidator over the given fold column scored by SMAPE; refits the
-    best setting on all rows (rows 80-82)."""
+    """Cross validation over the given fold column scored by SMAPE; refits the
+    best setting on all rows (rows 80-82).  Dense linear models are solved for
+    all folds and values from one pass; others go through CrossValidator."""
     cols = [est.getOrDefault("featuresCol"), est.getOrDefault("labelCol"), fold_col]
     train = fit_table(train.select(*cols), 8 * _width(train, cols[0]) + 64)
+    searched = {Ridge: "alpha", ElasticNet: "l1Ratio"}.get(type(est))
+    if searched == grid_param.name and _has_gram(train, est):
+        means, gram = L.cross_validate(train, *cols, T.vector_width(train, cols[0]), est.solve, values, smape)
+        best = min(range(len(values)), key=lambda i: means[i])
+        return Tuned(est.wrap(train, *est.solve(gram, values[best])), means), list(zip(map(float, values), means))
     # the estimator's own parameter: a class attribute belongs to no instance and would be ignored
     grid = ParamGridBuilder().addGrid(est.getParam(grid_param.name), values).build()
     cv = CrossValidator(estimator=est, estimatorParamMaps=grid, evaluator=SmapeEvaluator(),

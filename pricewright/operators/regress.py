@@ -1,11 +1,13 @@
 """Regressors as ``pyspark.ml`` estimators (rows 72-76, 79, 100-101).
 
-``Ridge`` and ``ElasticNet`` wrap ``LinearRegression`` with the penalty mapping
-that reproduces the reference's objectives (SURVEY §8): Spark scales the L2
-term by the label's standard deviation when ``standardization=False``, so the
-strength is rescaled from one aggregate of the label per fit.  Trees map onto
-``RandomForestRegressor`` / ``GBTRegressor``.  Everything accepts a vector
-``featuresCol`` and plugs into ``CrossValidator``.
+``Ridge`` and ``ElasticNet`` are solved from Gram tables (``operators/linear.py``)
+up to ``MAX_WIDTH`` columns.  Wider ones wrap ``LinearRegression`` with the penalty
+mapping that reproduces the reference's objectives (SURVEY §8): Spark scales the
+L2 term by the label's standard deviation when ``standardization=False``, so the
+strength is rescaled from one aggregate of the label per fit.  Trees are histogram
+trees (``operators/boosting.py``).  Everything accepts a vector ``featuresCol`` and
+plugs into ``CrossValidator``; the ensemble functions fit folds and members of
+both kinds together.
 """
 
 from __future__ import annotations
@@ -15,11 +17,14 @@ from pyspark.ml import Estimator
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol, HasPredictionCol
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import linear as L
+from .boosting import TreeSpec
 from .metrics import smape, smape_drop_zero
+from .trees import TreeEnsemble, vector_width
 
 
 class _Linear(Estimator, HasFeaturesCol, HasLabelCol, HasPredictionCol):
@@ -48,9 +53,21 @@ class _Linear(Estimator, HasFeaturesCol, HasLabelCol, HasPredictionCol):
                                 tol=self.getOrDefault("tol"))
 
 
+    def solve(self, gram: L.Gram, penalty: float | None = None):
+        """(w, b) from a Gram table; ``penalty`` replaces the searched parameter."""
+        raise NotImplementedError
+
+    def _from_gram(self, df: DataFrame, width: int) -> LinearRegressionModel:
+        tables = L.gram_tables(df, self.getFeaturesCol(), self.getLabelCol(), width)
+        return self.wrap(df, *self.solve(L.without_fold(tables, -2)))
+
+    def wrap(self, df: DataFrame, w, intercept: float) -> LinearRegressionModel:
+        return L.as_model(df, w, intercept, self.getFeaturesCol(), self.getPredictionCol())
+
+
 class Ridge(_Linear):
-    """min ‖y − Xw − b‖² + α‖w‖² (no 1/n).  ``solver='normal'`` up to 4096
-    features (exact), L-BFGS above (sparse text)."""
+    """min ‖y − Xw − b‖² + α‖w‖² (no 1/n).  ``solver='normal'``: exact, from the
+    Gram table, up to ``MAX_WIDTH`` columns; ``l-bfgs`` above."""
 
     solver = Param(Params._dummy(), "solver", "normal or l-bfgs", typeConverter=TypeConverters.toString)
 
@@ -62,9 +79,15 @@ class Ridge(_Linear):
                          labelCol="price", predictionCol="prediction")
         self._set(**self._input_kwargs)
 
+    def solve(self, gram: L.Gram, penalty: float | None = None):
+        return L.solve_ridge(gram, self.getOrDefault("alpha") if penalty is None else penalty)
+
     def _fit(self, df: DataFrame):
-        n, sp, ss = self._label_stats(df)
         solver = self.getOrDefault("solver")
+        width = vector_width(df, self.getFeaturesCol())
+        if solver == "normal" and 0 < width <= L.MAX_WIDTH:
+            return self._from_gram(df, width)
+        n, sp, ss = self._label_stats(df)
         sd = sp if solver == "normal" else ss
         reg = self.getOrDefault("alpha") * (sd if sd > 0 else 1.0) / max(n, 1)
         return self._lr(reg, 0.0, solver).fit(df)
@@ -73,7 +96,13 @@ class Ridge(_Linear):
 class ElasticNet(_Linear):
     """min 1/(2n)‖y − Xw − b‖² + α·r‖w‖₁ + α(1−r)/2‖w‖² (coordinate-descent form)."""
 
+    def solve(self, gram: L.Gram, penalty: float | None = None):
+        return L.solve_elastic_net(gram, self.getOrDefault("alpha"), self.getOrDefault("l1Ratio") if penalty is None else penalty)
+
     def _fit(self, df: DataFrame):
+        width = vector_width(df, self.getFeaturesCol())
+        if 0 < width <= L.MAX_WIDTH:
+            return self._from_gram(df, width)
         n, sp, ss = self._label_stats(df)
         a, r = self.getOrDefault("alpha"), self.getOrDefault("l1Ratio")
         l1 = a * r
@@ -83,26 +112,36 @@ class ElasticNet(_Linear):
         return self._lr(reg, enet, "l-bfgs").fit(df)
 
 
-def random_forest(num_trees: int = 100, seed: int = 42, **kw) -> RandomForestRegressor:
-    """100 trees, depth 10, leaves of ≥ 5 rows, every feature at every split."""
-    return RandomForestRegressor(featuresCol=kw.get("featuresCol", "fv"), labelCol=kw.get("labelCol", "price"),
-                                 numTrees=num_trees, maxDepth=10, minInstancesPerNode=5,
-                                 featureSubsetStrategy="all", seed=seed, maxBins=64)
+def random_forest(num_trees: int = 100, seed: int = 42, **kw) -> TreeEnsemble:
+    """100 trees, depth 10, nodes of ≥ 10 rows split into leaves of ≥ 5, every
+    feature at every split, rows drawn with replacement."""
+    return TreeEnsemble(spec=TreeSpec(trees=num_trees, kind="forest", depth=10, min_leaf=5, min_split=10, seed=seed), **kw)
+
+
+def gbt_leafwise(rounds: int, leaves: int = 31, rate: float = 0.05, share: float = 0.8, l1: float = 0.1, l2: float = 0.1,
+                 **kw) -> TreeEnsemble:
+    """The leaf with the largest gain is split first; leaves of ≥ 20 rows."""
+    return TreeEnsemble(spec=TreeSpec(trees=rounds, growth="leaf", depth=None, leaves=leaves, rate=rate, rows=share, columns=share,
+                                      l1=l1, l2=l2, min_leaf=20), **kw)
+
+
+def gbt_depth(rounds: int, depth: int = 6, rate: float = 0.05, share: float = 0.8, l1: float = 0.1, l2: float = 1.0, **kw
+              ) -> TreeEnsemble:
+    """Level by level to a depth."""
+    return TreeEnsemble(spec=TreeSpec(trees=rounds, depth=depth, rate=rate, rows=share, columns=share, l1=l1, l2=l2), **kw)
 
 
-def gbt(iters: int, depth: int, loss: str = "squared", step: float = 0.05, seed: int = 42, share: float = 0.8,
-        **kw) -> GBTRegressor:
-    """Boosted trees: learning rate 0.05, ``share`` of rows and features per tree."""
-    return GBTRegressor(featuresCol=kw.get("featuresCol", "fv"), labelCol=kw.get("labelCol", "price"),
-                        maxIter=iters, maxDepth=depth, stepSize=step, subsamplingRate=share,
-                        featureSubsetStrategy=str(share), lossType=loss, seed=seed, maxBins=64)
+def gbt_absolute(rounds: int, depth: int = 6, rate: float = 0.05, l2: float = 3.0, **kw) -> TreeEnsemble:
+    """Absolute loss: oblivious trees whose leaves are medians of the residuals."""
+    return TreeEnsemble(spec=TreeSpec(trees=rounds, growth="oblivious", loss="absolute", depth=depth, rate=rate, l2=l2), **kw)
 
 
 def base_models(tree_scale: float = 1.0, rf_trees: int | None = None, gbt_rounds: int | None = None
                 ) -> dict[str, Estimator]:
     """Named candidates (row 85).  ``tree_scale`` multiplies tree and boosting
     round counts (1.0 = the reference's counts); ``rf_trees`` / ``gbt_rounds``
-    set them outright.  Fixed values: counts, rates and shares are the reference's."""
+    set them outright.  Fixed values: counts, rates, penalties and shares are the
+    reference's."""
 
     def n(v: int) -> int:
         return gbt_rounds if gbt_rounds is not None else max(1, int(round(v * tree_scale)))
@@ -111,9 +150,9 @@ def base_models(tree_scale: float = 1.0, rf_trees: int | None = None, gbt_rounds
         "ridge": Ridge(alpha=1.0),
         "elastic_net": ElasticNet(alpha=0.5, l1Ratio=0.7, maxIter=2000),
         "random_forest": random_forest(rf_trees if rf_trees is not None else max(1, int(round(100 * tree_scale)))),
-        "gbt_leafwise": gbt(n(1000), 5),  # 31-leaf trees ≈ depth 5
-        "gbt_depth6": gbt(n(800), 6),
-        "gbt_absolute": gbt(n(1000), 6, loss="absolute"),
+        "gbt_leafwise": gbt_leafwise(n(1000)),
+        "gbt_depth6": gbt_depth(n(800)),
+        "gbt_absolute": gbt_absolute(n(1000)),
     }
 
 
@@ -122,7 +161,7 @@ def stacker_models(tree_scale: float = 1.0, gbt_rounds: int | None = None) -> di
     return {
         "ridge": Ridge(alpha=1.0, featuresCol="sv"),
         "elastic_net": ElasticNet(alpha=0.1, l1Ratio=0.5, maxIter=2000, featuresCol="sv"),
-        "gbt": gbt(rounds, 4, step=0.1, share=0.9, featuresCol="sv"),  # 15-leaf trees ≈ depth 4
+        "gbt": gbt_leafwise(rounds, leaves=15, rate=0.1, share=0.9, l1=0.0, l2=0.0, featuresCol="sv"),
     }
 
 

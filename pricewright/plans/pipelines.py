@@ -15,7 +15,6 @@ recomputing (and losing an executor does not recompute the features).
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.ml.functions import array_to_vector
@@ -66,8 +65,11 @@ def prepare(spark: SparkSession, sf: str, cfg: RunConfig):
 
 
 def fit_all(models: dict, fit_df: DataFrame, parallelism: int) -> dict:
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        return dict(zip(models, pool.map(lambda est: est.fit(fit_df), models.values())))
+    fitted = E.fit_folds(fit_df, models, None, [-1], parallelism)
+    for m in fitted.values():
+        if isinstance(m, Exception):
+            raise m
+    return {n: fitted[n, -1] for n in models}
 
 
 def predict_all(fitted: dict, pred_df: DataFrame) -> DataFrame:
@@ -79,8 +81,8 @@ def predict_all(fitted: dict, pred_df: DataFrame) -> DataFrame:
 
 
 def run_stacked(spark: SparkSession, sf: str, cfg: RunConfig | None = None, out: str | None = None) -> dict:
-    """The whole stacked run.  Members that cannot be fitted are reported in
-    ``meta["skipped"]``.  With ``out``, the submission, the metadata and the
+    """The whole stacked run.  Members and stackers that cannot be fitted are
+    reported in ``meta["skipped"]`` and ``meta["stackers_skipped"]``.  With ``out``, the submission, the metadata and the
     fitted models are written below that folder."""
     cfg = cfg or RunConfig()
     a, b, info = prepare(spark, sf, cfg)
@@ -98,9 +100,10 @@ def run_stacked(spark: SparkSession, sf: str, cfg: RunConfig | None = None, out:
     mat = mat.withColumn("cv_fold", fold_of(F.col("sample_id"), K_FOLDS, 42))
     mat = cut_lineage(mat)
     stackers = R.stacker_models(cfg.tree_scale, cfg.gbt_rounds)
-    st_oof = E.oof_predictions(mat, stackers, k=K_FOLDS, parallelism=cfg.parallelism)
+    st_skipped: dict[str, str] = {}
+    st_oof = E.oof_predictions(mat, stackers, k=K_FOLDS, parallelism=cfg.parallelism, skipped=st_skipped)
     st_scores = {r["model"]: r["smape"] for r in E.oof_scores(st_oof).collect()}
-    order = list(stackers)
+    order = [m for m in stackers if m in st_scores]
     best = min(order, key=lambda m: (st_scores[m], order.index(m)))  # earlier wins ties
 
     # refit bases on all rows, predict test; stacker on OOF (default) or in-sample
@@ -119,7 +122,7 @@ def run_stacked(spark: SparkSession, sf: str, cfg: RunConfig | None = None, out:
     pred = stacker.transform(test_mat).select("sample_id", price_floor("prediction").alias("prediction"))
     submission = pred.select("sample_id", F.col("prediction").alias("price"))
     meta = {
-        "base_models": names, "skipped": skipped, "cv_scores": base_scores, "stacker": best, "stacker_scores": st_scores,
+        "base_models": names, "skipped": skipped, "cv_scores": base_scores, "stacker": best, "stacker_scores": st_scores, "stackers_skipped": st_skipped,
         "n_train": a.count(), "n_test": b.count(), "n_features": info["width"],
         "feature_info": {k: v for k, v in info.items() if k != "singular_values"},
     }

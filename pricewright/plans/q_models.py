@@ -30,8 +30,7 @@ from . import sqlfrag as q
 from .features import FeatureConfig, build_features, text_blocks, text_column
 from .registry import r6, register, with_catalog
 
-# All counts are the reference's.  The stacked run fits each boosted member six
-# times and MLlib needs several jobs a round: README, "Open", has what was measured.
+# All counts are the reference's.
 CHECK = PL.RunConfig()
 
 
@@ -158,6 +157,30 @@ def q_model_rank_best(spark, sf):
         "i", F.round("smape", 4).alias("cv_smape"))  # ranked raw, rounded for the report
 
 
+def _l1_sql(ratios: list[float]) -> str:
+    """Cross-validated SMAPE of the one-feature elastic net, from totals less the fold's."""
+    return with_catalog(
+        f"t as (select price y, n_chars x, {_CV} cv from catalog where fold <> 0)",
+        "f as (select cv, count(*)::double n, sum(x) sx, sum(y) sy, sum(x * x) sxx, sum(x * y) sxy from t group by cv)",
+        "s as (select f.cv, a.n - f.n n, (a.sx - f.sx) / (a.n - f.n) mx, (a.sy - f.sy) / (a.n - f.n) my, "
+        "(a.sxx - f.sxx) / (a.n - f.n) exx, (a.sxy - f.sxy) / (a.n - f.n) exy from f, (select sum(n) n, sum(sx) sx, "
+        "sum(sy) sy, sum(sxx) sxx, sum(sxy) sxy from f) a)",
+        f"r as (select unnest({[float(r) for r in ratios]}) l1_ratio)",
+        "w as (select cv, l1_ratio, mx, my, sign(exy - mx * my) * greatest(abs(exy - mx * my) - 1e-4::double * l1_ratio, 0) "
+        "/ (exx - mx * mx + 1e-4::double * (1 - l1_ratio)) b from s, r)",
+        f"p as (select cv, l1_ratio, {q.smape('my - b * mx + b * x', 'y')} s from t join w using (cv) group by cv, l1_ratio)",
+        select="select l1_ratio, round(avg(s), 6) cv_smape from p group by l1_ratio")
+
+
+@register("l1_ratio_search_one", _l1_sql(PL.L1_RATIOS))
+def q_l1_ratio_search_one(spark, sf):
+    """The search on one column, where it has a closed form."""
+    tr, _ = _one_feature(spark, sf, "n_chars")
+    _, scores = E.tune(R.ElasticNet(alpha=1e-4), R.ElasticNet.l1Ratio, PL.L1_RATIOS, tr)
+    return spark.createDataFrame([(r, s) for r, s in scores], "l1_ratio double, cv_smape double").withColumn(
+        "cv_smape", F.round("cv_smape", 6))
+
+
 @register("l1_ratio_search")
 def q_l1_ratio_search(spark, sf):
     a, _, _ = PL.prepare(spark, sf, CHECK)
@@ -399,7 +422,9 @@ def q_base_model_registry(spark, sf):
 @register("stacker_select")
 def q_stacker_select(spark, sf):
     res = PL.run_stacked(spark, sf, CHECK)
-    scores = E.oof_scores(res["stacker_oof"])
+    skipped = res["meta"]["stackers_skipped"]
+    why = spark.createDataFrame([(m, skipped.get(m)) for m in R.stacker_models()], "model string, skipped string")
+    scores = why.join(E.oof_scores(res["stacker_oof"]), "model", "left")
     return scores.withColumn("chosen", F.col("model") == F.lit(res["meta"]["stacker"]))
 
 

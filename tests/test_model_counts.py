@@ -13,7 +13,7 @@ def test_boosted_queries_boost_all_rounds(spark, monkeypatch, query, rounds, los
     fitted = []
     monkeypatch.setattr(Q, "_fit_test", lambda s, sf, est: fitted.append(est))
     query(spark, "")
-    assert [(e.getMaxIter(), e.getLossType()) for e in fitted] == [(rounds, loss)]
+    assert [(e.spec.trees, e.spec.loss) for e in fitted] == [(rounds, loss)]
 
 
 def test_registry_fits_all_counts(spark, monkeypatch):
@@ -22,7 +22,7 @@ def test_registry_fits_all_counts(spark, monkeypatch):
     monkeypatch.setattr(Q.E, "oof_predictions", lambda a, models, **k: seen.append(models))
     monkeypatch.setattr(Q.E, "oof_scores", lambda oof: MagicMock())
     Q.q_base_model_registry(MagicMock(), "")
-    boosted = {n: m.getMaxIter() for n, m in seen[0].items() if n.startswith("gbt")}
+    boosted = {n: m.spec.trees for n, m in seen[0].items() if n.startswith("gbt")}
     assert boosted == {"gbt_leafwise": 1000, "gbt_depth6": 800, "gbt_absolute": 1000}
 
 
@@ -35,4 +35,4 @@ def test_stacked_queries_run_all_members(spark, monkeypatch, query):
     query(MagicMock() if query is Q.q_run_metadata else spark, "")
     cfg = seen[0]
     assert cfg.models is None and cfg.gbt_rounds is None and cfg.rf_trees is None and cfg.tree_scale == 1.0
-    assert R.stacker_models(cfg.tree_scale, cfg.gbt_rounds)["gbt"].getMaxIter() == 500
+    assert R.stacker_models(cfg.tree_scale, cfg.gbt_rounds)["gbt"].spec.trees == 500
