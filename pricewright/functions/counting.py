@@ -1,4 +1,4 @@
-"""Per-document term counting as an Arrow-batched pandas UDF.
+"""Per-document term counting by an Arrow iterator.
 
 A document is one row, so its term counts need no shuffle: counting inside the
 row replaces an explode + per-(id, term) hash aggregation.  Built-in
@@ -7,19 +7,23 @@ cannot count them per row without quadratic work, and the measured cost of
 the explode + aggregate was several times this helper's.  The token rules are
 the same as the JVM expressions and the DuckDB oracle: one regex for word
 tokens, one whitespace class, the same accent table.
+
+Rows leave in slices of at most ``SLICE_ROWS``, however many terms the texts of
+an Arrow batch have; what a task holds besides are the distinct terms of one text.
+Several analyzers read a text in one pass.
 """
 
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from . import text as tx
 
-COUNTS_TYPE = "struct<term:array<string>,tf:array<int>>"
+SLICE_ROWS = 1 << 16
 
 
 def make_counter(kind: str, ngram_min: int, ngram_max: int, stop_words: tuple[str, ...] | None,
@@ -51,22 +55,32 @@ def make_counter(kind: str, ngram_min: int, ngram_max: int, stop_words: tuple[st
         return Counter(grams)
 
     count = char_wb if kind == "char_wb" else words
-
-    def run(texts: pd.Series) -> pd.DataFrame:
-        cs = [count(analyze(t)) for t in texts]
-        return pd.DataFrame({"term": [list(c.keys()) for c in cs], "tf": [list(c.values()) for c in cs]})
-
-    return run
-
-
-def term_count_column(text: Column, kind: str, ngram_min: int, ngram_max: int,
-                      stop_words: tuple[str, ...] | None, strip_accents: bool) -> Column:
-    """``struct<term: array, tf: array>`` of one document (parallel arrays)."""
-    fn = F.pandas_udf(make_counter(kind, ngram_min, ngram_max, stop_words, strip_accents), COUNTS_TYPE)
-    return fn(text)
-
-
-def term_count_rows(text: Column, *args) -> Column:
-    """Generator expression: one (term, tf) row per distinct term of the document."""
-    c = term_count_column(text, *args)
-    return F.inline(F.arrays_zip(c.getField("term").alias("term"), c.getField("tf").alias("tf")))
+    return lambda t: count(analyze(t))
+
+
+def count_terms(docs: DataFrame, id_col: str, text_col: str, analyzers: dict[str, tuple]) -> DataFrame:
+    """(id, block, term, tf): one row per distinct term of a document and
+    analyzer; ``analyzers`` maps block names to the arguments of ``make_counter``."""
+    id_type = docs.schema[id_col].dataType.simpleString()
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counters = {block: make_counter(*args) for block, args in analyzers.items()}
+        held: tuple[list, list, list, list] = ([], [], [], [])
+
+        def flush(n: int) -> pd.DataFrame:
+            out = pd.DataFrame(dict(zip((id_col, "block", "term", "tf"), (c[:n] for c in held))))
+            for c in held:
+                del c[:n]
+            return out
+
+        for b in batches:
+            for i, t in zip(b[id_col], b[text_col]):
+                for block, count in counters.items():
+                    found = count(t)
+                    for c, v in zip(held, ([i] * len(found), [block] * len(found), found.keys(), found.values())):
+                        c.extend(v)
+                    while len(held[0]) >= SLICE_ROWS:
+                        yield flush(SLICE_ROWS)
+        yield flush(len(held[0]))
+
+    return docs.select(id_col, text_col).mapInPandas(run, f"{id_col} {id_type}, block string, term string, tf int")

@@ -191,9 +191,16 @@ def _ratio(num: Column, c: Column) -> Column:
     return F.when(n == 0, F.lit(0.0)).otherwise(num.cast("double") / n)
 
 
+@F.pandas_udf(T.LongType())
+def distinct_chars(texts: pd.Series) -> pd.Series:
+    """Distinct characters of each text; what is held is bounded by the alphabet
+    (a JVM expression would need an array of all characters of a text)."""
+    return pd.Series([len(set(t)) if t else 0 for t in texts], dtype="int64")
+
+
 def unique_char_ratio(c: str | Column) -> Column:
     t = fill_empty(c)
-    return _ratio(F.size(F.array_distinct(F.split(t, ""))), t)
+    return _ratio(distinct_chars(t), t)
 
 
 def punct_ratio(c: str | Column) -> Column:

@@ -8,8 +8,8 @@
   ``(id, term, weight)`` by randomized subspace iteration (Halko, Martinsson,
   Tropp 2011, alg. 4.4 with a QR after every XᵀX product).  Each pass over the
   data is one ``mapInPandas`` job over whole documents (partitioned by id) that
-  emits per-partition partial sums of XᵀXΩ, reduced per term with Spark's
-  ``Summarizer``.  The driver only ever holds vocabulary×(k+p) and
+  emits per-partition partial sums of XᵀXΩ as chunks of terms, added up by Spark.
+  The driver only ever holds vocabulary×(k+p) and
   (k+p)×(k+p) matrices — the model — never rows.
 
 Sign convention of both: each component's largest-magnitude loading is positive.
@@ -22,7 +22,6 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -80,9 +79,9 @@ def fit_pca(df: DataFrame, col: str, k: int) -> PcaModel:
 # ---- truncated SVD of a long-form sparse matrix --------------------------------------------------
 
 def index_terms(vocab: DataFrame) -> DataFrame:
-    """(term, idx) with idx in [0, |vocab|).  The vocabulary is bounded by the
+    """(term, idx) with idx in [0, |vocab|), and the idf if there is one.  The vocabulary is bounded by the
     vectoriser's feature cap, so one ordered window over it is small."""
-    return vocab.select("term").withColumn("idx", (F.row_number().over(Window.orderBy("term")) - 1).cast("int"))
+    return vocab.select("term", *[c for c in ("idf",) if c in vocab.columns]).withColumn("idx", (F.row_number().over(Window.orderBy("term")) - 1).cast("int"))
 
 
 def _rows(X: DataFrame, terms: DataFrame, id_col: str) -> DataFrame:
@@ -91,7 +90,7 @@ def _rows(X: DataFrame, terms: DataFrame, id_col: str) -> DataFrame:
     The explicit partition count keeps the CPU-bound passes spread over the
     cluster (AQE would merge a small shuffle into one task) and their size to
     the data; a pass streams several of them through one task (``_streams``)."""
-    t = F.broadcast(terms)  # bounded by the vocabulary cap (checked by the caller)
+    t = F.broadcast(terms.select("term", "idx"))  # bounded by the vocabulary cap (checked by the caller)
     n = int(X.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     j = X.join(t, "term").select(id_col, "idx", F.col("weight").cast("double").alias("w")).repartition(n, id_col)
     return j.groupBy(id_col).agg(F.collect_list(F.struct("idx", "w")).alias("e")).select(
@@ -123,26 +122,31 @@ def _blocks(pdf, docs: int = 256):
         yield np.arange(s, s + len(part)), uniq, D
 
 
+#: Terms of a record that carries a part of a partial sum, as bytes.
+CHUNK = 64
+#: Partial sums of a chunk that one group may hold; more are added in two steps.
+PARTIALS = 64
+
+
 def _pass_fn(omega_b, n_terms: int, width: int):
-    """mapInPandas body: partial Z = X_pᵀ (X_p Ω) and G = (X_p Ω)ᵀ(X_p Ω),
-    emitted once per partition (one row per touched term, plus G's rows under
-    negative keys)."""
+    """mapInPandas body: partial Z = X_pᵀ (X_p Ω) and G = (X_p Ω)ᵀ(X_p Ω), once
+    per partition: the touched chunks of Z, and G under the chunk -1."""
 
     def fn(batches):
         import pandas as pd
 
         omega = omega_b.value
-        Z = np.zeros((n_terms, width))
+        Z = np.zeros((-(-n_terms // CHUNK) * CHUNK, width))
         G = np.zeros((width, width))
         for pdf in batches:
             for _, uniq, D in _blocks(pdf):
                 Y = D @ omega[uniq]
                 G += Y.T @ Y
                 Z[uniq] += D.T @ Y
-        touched = np.flatnonzero(np.any(Z != 0, axis=1))
-        out = pd.DataFrame({"idx": np.r_[touched, -1 - np.arange(width)].astype(np.int32),
-                            "z": list(Z[touched]) + list(G)})
-        yield out
+        Z = Z.reshape(-1, CHUNK * width)
+        for k in np.flatnonzero(np.any(Z != 0, axis=1)):
+            yield pd.DataFrame({"chunk": [k], "data": [Z[k].tobytes()]})
+        yield pd.DataFrame({"chunk": [-1], "data": [G.tobytes()]})
 
     return fn
 
@@ -151,23 +155,31 @@ def _one_pass(rows: DataFrame, omega: np.ndarray, n_terms: int) -> tuple[np.ndar
     spark = rows.sparkSession
     width = omega.shape[1]
     ob = spark.sparkContext.broadcast(omega)
-    parts = _streams(rows).mapInPandas(_pass_fn(ob, n_terms, width), "idx int, z array<double>")
-    red = parts.groupBy("idx").agg(Summarizer.sum(array_to_vector("z")).alias("s"))
-    # (|vocab| + width) rows of ``width`` doubles: the model-sized result, via Arrow
-    got = red.select("idx", vector_to_array("s").alias("s")).toPandas()
-    ob.unpersist()
-    Z = np.zeros((n_terms, width))
+    streams = _streams(rows)
+    parts = streams.mapInPandas(_pass_fn(ob, n_terms, width), "chunk int, data binary")
+
+    def added(group):
+        return group.iloc[:1].assign(data=[np.sum([np.frombuffer(x) for x in group["data"]], axis=0).tobytes()])
+
+    salts = -(-spark.sparkContext.defaultParallelism // PARTIALS)
+    if salts > 1:
+        parts = parts.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(salts))).groupBy("chunk", "salt").applyInPandas(
+            added, "chunk int, data binary, salt int").drop("salt")
+    Z = np.zeros((-(-n_terms // CHUNK) * CHUNK, width))
     G = np.zeros((width, width))
-    ids = got["idx"].to_numpy()
-    vals = np.stack(got["s"].to_numpy()) if len(got) else np.zeros((0, width))
-    Z[ids[ids >= 0]] = vals[ids >= 0]
-    G[-1 - ids[ids < 0]] = vals[ids < 0]
-    return Z, G
+    # |vocab| × width numbers: the model-sized result
+    for r in parts.groupBy("chunk").applyInPandas(added, "chunk int, data binary").collect():
+        if r["chunk"] < 0:
+            G = np.frombuffer(r["data"]).reshape(width, width)
+        else:
+            Z[r["chunk"] * CHUNK:(r["chunk"] + 1) * CHUNK] = np.frombuffer(r["data"]).reshape(CHUNK, width)
+    ob.unpersist()
+    return Z[:n_terms], G
 
 
 @dataclass
 class SvdModel:
-    terms: DataFrame  # (term, idx)
+    terms: DataFrame  # (term, idx), and idf if the vocabulary had it
     components: np.ndarray  # (k, |vocab|)
     singular_values: np.ndarray
 
@@ -203,7 +215,7 @@ def fit_truncated_svd(X: DataFrame, vocab: DataFrame, k: int, n_iter: int = 5, o
     The vocabulary holds at most ``BROADCAST_MAX_ROWS`` terms (set the
     vectoriser's ``max_features``); more are refused before any work.  Without
     terms the model has no components."""
-    vocab = cut_lineage(vocab.select("term").limit(BROADCAST_MAX_ROWS + 1))
+    vocab = cut_lineage(vocab.select("term", *[c for c in ("idf",) if c in vocab.columns]).limit(BROADCAST_MAX_ROWS + 1))
     n_terms = vocab.count()
     if n_terms > BROADCAST_MAX_ROWS:
         raise ValueError(f"the vocabulary exceeds the broadcast bound of {BROADCAST_MAX_ROWS} terms")

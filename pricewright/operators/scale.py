@@ -8,8 +8,11 @@ block remains one column.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -69,7 +72,10 @@ class ArrayScaler:
 
 
 def fit_standard_array(df: DataFrame, c: str, dim: int) -> ArrayScaler:
-    """Per-element mean and population std in one aggregate (``dim`` columns)."""
-    row = df.agg(*[F.avg(F.col(c)[i]).alias(f"m{i}") for i in range(dim)],
-                 *[F.stddev_pop(F.col(c)[i]).alias(f"s{i}") for i in range(dim)]).first()
-    return ArrayScaler([float(row[f"m{i}"] or 0.0) for i in range(dim)], [_safe(row[f"s{i}"]) for i in range(dim)])
+    """Per-element mean and population std from one aggregate of vectors."""
+    stats = Summarizer.metrics("mean", "std", "count")
+    r = df.select(stats.summary(array_to_vector(F.col(c).cast("array<double>"))).alias("s")).first()["s"]
+    if not r["count"]:
+        return ArrayScaler([0.0] * dim, [1.0] * dim)
+    whole = math.sqrt((r["count"] - 1) / r["count"])  # Summarizer divides by n - 1
+    return ArrayScaler([float(v) for v in r["mean"]], [_safe(float(v) * whole) for v in r["std"]])

@@ -28,14 +28,12 @@ def numeric_columns(df: DataFrame, exclude: tuple[str, ...] = ()) -> list[str]:
 
 def concat_text(df: DataFrame, exclude: tuple[str, ...] = ("sample_id",)):
     """All string columns, null → "", joined by one space; none → ""."""
-    cols = string_columns(df, exclude)
-    if not cols:
-        return F.lit("")
-    return F.concat_ws(" ", *[fill_empty(c) for c in cols])
+    return joined_text(string_columns(df, exclude))
 
 
-def select_text_priority(df: DataFrame, exclude: tuple[str, ...] = ("sample_id",)):
-    """First priority column present whose mean length is > 0, else ``concat_text``.
+def text_columns(df: DataFrame, exclude: tuple[str, ...] = ("sample_id",)) -> list[str]:
+    """The columns that ``select_text_priority`` takes: the first priority column
+    present whose mean length is > 0, else all string columns.
 
     One aggregate over all candidates at once (a single job, one row back).
     """
@@ -44,8 +42,18 @@ def select_text_priority(df: DataFrame, exclude: tuple[str, ...] = ("sample_id",
         row = df.agg(*[F.avg(F.length(F.col(c))).alias(c) for c in present]).first()
         for c in present:
             if row[c] is not None and row[c] > 0:
-                return fill_empty(c)
-    return concat_text(df, exclude)
+                return [c]
+    return string_columns(df, exclude)
+
+
+def joined_text(cols: list[str]):
+    """The texts of the columns, null → "", joined by one space; none → ""."""
+    return F.concat_ws(" ", *[fill_empty(c) for c in cols]) if cols else F.lit("")
+
+
+def select_text_priority(df: DataFrame, exclude: tuple[str, ...] = ("sample_id",)):
+    """First priority column present whose mean length is > 0, else ``concat_text``."""
+    return joined_text(text_columns(df, exclude))
 
 
 def select_text_catalog(df: DataFrame, exclude: tuple[str, ...] = ("sample_id",)):
@@ -75,3 +83,8 @@ def require_columns(df: DataFrame, required: list[str]) -> DataFrame:
     if missing:
         raise ValueError(f"missing column(s) {missing}; available: {df.columns}")
     return df
+
+
+def array_width(df: DataFrame, col: str) -> int:
+    """Length of the longest array of a column (one tiny aggregate; 0 without any)."""
+    return int(df.agg(F.max(F.size(col))).first()[0] or 0)

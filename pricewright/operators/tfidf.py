@@ -6,9 +6,8 @@ assign and no driver-side matrix.
 
 Plan shape (per block):
 
-1. ``repartition(id)`` of the raw text once; terms are counted inside each
-   document (an Arrow-batched helper, ``functions/counting.py``) and exploded,
-   so neither the count nor the per-document normalisation shuffles again;
+1. ``repartition(id)`` of the raw text once for all blocks; terms are counted
+   inside each document (an Arrow iterator, ``functions/counting.py``), so neither the count nor the per-document normalisation shuffles again;
 2. document frequency and corpus count per term: partial + final hash
    aggregation (a term found in every document costs one row per map task);
 3. the vocabulary filter (min/max df) and top-``max_features`` by corpus count
@@ -23,13 +22,14 @@ is fitted on the training documents and applied to any documents.
 
 from __future__ import annotations
 
+import functools
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from ..functions.counting import term_count_rows
+from ..functions.counting import count_terms
 from ..session import BROADCAST_MAX_ROWS, cut_lineage
 
 
@@ -65,20 +65,25 @@ class TfidfParams:
     prefix: str = ""  # "w:" / "c:" keeps blocks apart when stacked
 
 
-def term_counts(docs: DataFrame, text: str | Column, analyzer: Analyzer, id_col: str = "sample_id",
-                partitions: int | None = None) -> DataFrame:
-    """(id, term, tf).  Documents are hash-partitioned by id once (the text is
-    the smallest thing to move); counting happens inside each document, so the
-    rows come out already grouped by id for every later per-document step."""
+def counts_by_block(docs: DataFrame, text: str | Column, analyzers: dict[str, Analyzer], id_col: str = "sample_id",
+                    partitions: int | None = None) -> DataFrame:
+    """(id, block, term, tf) for all analyzers from one shuffle of the texts.
+    Documents are hash-partitioned by id once (the text is the smallest thing to
+    move); counting happens inside each document, so the rows come out already
+    grouped by id for every later per-document step."""
     base = docs.select(F.col(id_col), tx.col_of(text).alias("_text"))
     # an explicit count: AQE must not merge these partitions, the next stage is
     # CPU-bound per document (set spark.sql.shuffle.partitions to the data size)
     n = partitions or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    base = base.repartition(n, id_col)
-    stop = (tx.spark_stop_words() if analyzer.stop_words else None)
-    rows = term_count_rows(F.col("_text"), analyzer.kind, analyzer.ngram_min, analyzer.ngram_max,
-                           stop, analyzer.strip_accents)
-    return base.select(id_col, rows)
+    args = {block: (a.kind, a.ngram_min, a.ngram_max, tx.spark_stop_words() if a.stop_words else None, a.strip_accents)
+            for block, a in analyzers.items()}
+    return count_terms(base.repartition(n, id_col), id_col, "_text", args)
+
+
+def term_counts(docs: DataFrame, text: str | Column, analyzer: Analyzer, id_col: str = "sample_id",
+                partitions: int | None = None) -> DataFrame:
+    """(id, term, tf) of one analyzer."""
+    return counts_by_block(docs, text, {"": analyzer}, id_col, partitions).drop("block")
 
 
 def corpus_stats(tf: DataFrame) -> DataFrame:
@@ -123,12 +128,69 @@ def n_docs_of(docs: DataFrame, id_col: str = "sample_id") -> Column:
     return docs.agg(F.count(F.lit(1))).scalar()
 
 
+def fit_transform_blocks(train: DataFrame, others: list[DataFrame], text: str | Column, blocks: list[TfidfParams],
+                         id_col: str = "sample_id"):
+    """Fit every block on ``train``; return (vocabulary, weights of train, weights
+    of each other set) with the blocks stacked, apart by their prefixes.  A text
+    is read and moved once for all blocks."""
+    if len({p.prefix for p in blocks}) != len(blocks):
+        raise ValueError("blocks need prefixes of their own")
+    analyzers = {p.prefix: p.analyzer for p in blocks}
+    train_counts = cut_lineage(counts_by_block(train, text, analyzers, id_col))  # feeds the fit and the transform
+    # each other set feeds one transform a block
+    counts = [train_counts] + [cut_lineage(c) if len(blocks) > 1 else c
+                               for c in (counts_by_block(o, text, analyzers, id_col) for o in others)]
+    n = n_docs_of(train, id_col)
+    vocabs, outs = [], [[] for _ in counts]
+    for p in blocks:
+        mine = [c.filter(F.col("block") == p.prefix).drop("block") for c in counts]
+        vocabs.append(fit_vocabulary(mine[0], n, p))
+        for out, c in zip(outs, mine):
+            out.append(transform(c, vocabs[-1], p, id_col))
+
+    def stacked(parts: list[DataFrame]) -> DataFrame:
+        return functools.reduce(DataFrame.unionByName, parts)
+
+    return stacked(vocabs), [stacked(o) for o in outs]
+
+
 def fit_transform(train: DataFrame, others: list[DataFrame], text: str | Column, p: TfidfParams,
                   id_col: str = "sample_id"):
     """Fit on ``train``; return (vocabulary, weights of train, weights of each other set)."""
-    tf_train = cut_lineage(term_counts(train, text, p.analyzer, id_col))  # feeds the fit and the transform
-    vocab = fit_vocabulary(tf_train, n_docs_of(train, id_col), p)
-    outs = [transform(tf_train, vocab, p, id_col)]
-    for o in others:
-        outs.append(transform(term_counts(o, text, p.analyzer, id_col), vocab, p, id_col))
-    return vocab, outs
+    return fit_transform_blocks(train, others, text, [p], id_col)
+
+
+def invalid(p: TfidfParams) -> str | None:
+    """Why a setting cannot be used, or None."""
+    if p.max_features is not None and p.max_features <= 0:
+        return "max_features must be positive"
+    if isinstance(p.max_df, float) and not 0 < p.max_df <= 1.0:
+        return "fractional max_df must be in (0, 1]"
+    if isinstance(p.min_df, float) and not 0 <= p.min_df <= 1.0:
+        return "fractional min_df must be in [0, 1]"
+    if p.analyzer.ngram_min > p.analyzer.ngram_max:
+        return "ngram_min > ngram_max"
+    return None
+
+
+@dataclass(frozen=True)
+class Rung:
+    """One setting of a ladder, tried."""
+
+    params: TfidfParams
+    reason: str | None  # why it was not usable
+    n_terms: int
+    chosen: bool
+
+
+def climb(train: DataFrame, text: str | Column, ladder: list[TfidfParams], id_col: str = "sample_id") -> list[Rung]:
+    """Tries the settings in order; the first valid one with any term is chosen,
+    and none may be: the block is then empty (width 0)."""
+    out: list[Rung] = []
+    for p in ladder:
+        why, n = invalid(p), 0
+        if why is None:
+            n = fit_vocabulary(term_counts(train, text, p.analyzer, id_col), n_docs_of(train, id_col), p).count()
+            why = None if n else "empty vocabulary"
+        out.append(Rung(p, why, n, why is None and not any(r.chosen for r in out)))
+    return out

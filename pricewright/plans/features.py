@@ -43,18 +43,38 @@ class FeatureConfig:
     widths: dict = field(default_factory=dict)
 
 
+def _strings(df: DataFrame) -> list[str]:
+    return [f.name for f in df.schema.fields if f.dataType.simpleString() == "string" and f.name != "sample_id"]
+
+
+@dataclass
+class Fitted:
+    """All that was fitted on train, for scoring raw items."""
+
+    blocks: list[tfidf.TfidfParams]
+    svd: decompose.SvdModel  # its terms carry the idf
+    stats: scale.ColumnScaler
+    struct: scale.ColumnScaler | None
+    struct_cols: list[str]
+    visual: VisualBlock | None
+    final: scale.ArrayScaler
+    clip: float
+    text_cols: list[str]
+
+
+def text_columns(df: DataFrame) -> list[str]:
+    return select.text_columns(df.drop("embedding"), exclude=("sample_id",))
+
+
 def text_column(df: DataFrame):
     """The main pipeline's text: priority columns, else all strings joined."""
-    return select.select_text_priority(df.drop("embedding"), exclude=("sample_id",))
+    return select.joined_text(text_columns(df))
 
 
 def text_blocks(train: DataFrame, test: DataFrame, text, cfg: FeatureConfig):
-    """Long-form TF-IDF of both sets (word ‖ char by prefix), fitted on train."""
-    vw, (wtr, wte) = tfidf.fit_transform(train, [test], text, cfg.word)
-    vocab, xtr, xte = vw, wtr, wte
-    if cfg.char is not None:
-        vc, (ctr, cte) = tfidf.fit_transform(train, [test], text, cfg.char)
-        vocab, xtr, xte = vw.unionByName(vc), wtr.unionByName(ctr), wte.unionByName(cte)
+    """Long-form TF-IDF of both sets (word ‖ char by prefix), fitted on train; a
+    text is read and moved once for both."""
+    vocab, (xtr, xte) = tfidf.fit_transform_blocks(train, [test], text, [p for p in (cfg.word, cfg.char) if p is not None])
     return vocab, xtr, xte
 
 
@@ -111,17 +131,26 @@ def build_features(train: DataFrame, test: DataFrame, vis: DataFrame | None, cfg
     """Return (train_matrix, test_matrix, info).  Matrices: ``sample_id``,
     ``price`` (test: as given, may be absent), ``features array<double>``."""
     cfg = cfg or FeatureConfig()
-    text = text_column(train)
+    text_cols = text_columns(train)
+    text = select.joined_text(text_cols)
     keep = [c for c in train.columns if c != "embedding"]
     tr, te = train.select(*keep), test.select(*[c for c in keep if c in test.columns])
-    svd, tr, te = svd_block(tr, te, text, cfg)
-    st, tr, te = stats_block(tr, te, text)
-    rs, cols, tr, te = structured_block(tr, te, cfg.exclude)
-    vb, tr, te = visual_block(tr, te, vis, cfg.visual_k)
-    feats = F.concat("svd", "stats", "struct", "vis")
     out_cols = [c for c in ("sample_id", "price", "cv_fold", "fold") if c in tr.columns]
-    tr = tr.select(*out_cols, N.zero_nonfinite_array(feats).alias("features"))
-    te = te.select(*[c for c in out_cols if c in te.columns], N.zero_nonfinite_array(feats).alias("features"))
+    # every block is made from the items alone and joined by id at the end, so no
+    # fit of one block computes another
+    svd, svd_tr, svd_te = svd_block(tr.select("sample_id", *_strings(tr)), te.select("sample_id", *_strings(te)), text, cfg)
+    st, st_tr, st_te = stats_block(tr, te, text)
+    rs, cols, rs_tr, rs_te = structured_block(tr, te, cfg.exclude)
+    vb, vb_tr, vb_te = visual_block(tr.select("sample_id"), te.select("sample_id"), vis, cfg.visual_k)
+    feats = F.concat("svd", "stats", "struct", "vis")
+
+    def joined(items: DataFrame, *blocks: tuple[DataFrame, str]) -> DataFrame:
+        for block, col in blocks:
+            items = items.join(block.select("sample_id", col), "sample_id")
+        return items.select(*[c for c in out_cols if c in items.columns], N.zero_nonfinite_array(feats).alias("features"))
+
+    tr = joined(tr.select(*out_cols), (svd_tr, "svd"), (st_tr, "stats"), (rs_tr, "struct"), (vb_tr, "vis"))
+    te = joined(te.select(*[c for c in out_cols if c in te.columns]), (svd_te, "svd"), (st_te, "stats"), (rs_te, "struct"), (vb_te, "vis"))
     label = F.col("price") if "price" in tr.columns else F.lit(None)
     # stored before the final scaler: its fit and its output read the matrix, not the texts
     tr, te = cut_lineage(tr.filter(N.all_finite("features") & N.is_finite(label))), cut_lineage(te)
@@ -131,6 +160,7 @@ def build_features(train: DataFrame, test: DataFrame, vis: DataFrame | None, cfg
     info = {
         "svd_k": svd.components.shape[0], "text_stats": 5, "structured": cols,
         "visual": (vb.k + 1) if vb else 1, "width": width, "singular_values": svd.singular_values.tolist(),
+        "fitted": Fitted([p for p in (cfg.word, cfg.char) if p is not None], svd, st, rs, cols, vb, final, cfg.clip, text_cols),
     }
     return (tr.select(*out_cols, fin.alias("features")),
             te.select(*[c for c in out_cols if c in te.columns], fin.alias("features")), info)

@@ -4,8 +4,8 @@
 stacker chosen by out-of-fold SMAPE → bases refitted on all rows → stacker
 prediction for test → floor → submission + run metadata.
 
-``run_text_models``: cleaned text → TF-IDF (sparse vectors) ‖ numeric columns
-→ ridge α search vs. elastic-net l1-ratio search by CV SMAPE → refit winner →
+``run_text_models``: cleaned text → TF-IDF (sparse arrays) ‖ numeric columns →
+ridge α search vs. elastic-net l1-ratio search (SGD) by CV SMAPE → fit winner →
 predict → floor → summary.
 
 Feature matrices are written once with a reliable checkpoint into the shared
@@ -18,19 +18,21 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.ml.functions import array_to_vector
-from pyspark.ml.linalg import SparseVector, VectorUDT
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from ..functions.hashing import fold_of
 from ..functions.numeric import price_floor
 from ..operators import ensemble as E
 from ..operators import regress as R
 from ..operators import select as S
+from ..operators import sparse_linear as SL
 from ..operators import tfidf as T
+from ..operators.folds import with_folds
+from ..operators import stages as ST
+from ..operators.metrics import smape
 from ..operators.sinks import write_run_metadata, write_submission
-from ..session import cut_lineage, fit_table
+from ..session import BROADCAST_MAX_ROWS, cut_lineage, fit_table
 from ..sources.tables import catalog, read_table, train_test
 from ..sources.visual import visual_features
 from .features import FeatureConfig, build_features
@@ -52,7 +54,7 @@ class RunConfig:
 def inputs(spark: SparkSession, sf: str):
     """Train (with its CV fold), test and the visual table."""
     train, test = train_test(catalog(spark, sf))
-    train = train.withColumn("cv_fold", fold_of(F.col("sample_id"), K_FOLDS, 42))
+    train = with_folds(train, K_FOLDS, 42)
     vis = visual_features(read_table(spark, sf, "embeddings"), id_col="vec_id", vec_col="embedding")
     return train, test, vis
 
@@ -97,8 +99,7 @@ def run_stacked(spark: SparkSession, sf: str, cfg: RunConfig | None = None, out:
 
     # stacker: candidates scored by their own out-of-fold SMAPE on the OOF matrix
     mat = E.oof_matrix(oof, names).withColumn("sv", array_to_vector(F.array(*[F.col(m) for m in names])))
-    mat = mat.withColumn("cv_fold", fold_of(F.col("sample_id"), K_FOLDS, 42))
-    mat = cut_lineage(mat)
+    mat = cut_lineage(with_folds(mat, K_FOLDS, 42))
     stackers = R.stacker_models(cfg.tree_scale, cfg.gbt_rounds)
     st_skipped: dict[str, str] = {}
     st_oof = E.oof_predictions(mat, stackers, k=K_FOLDS, parallelism=cfg.parallelism, skipped=st_skipped)
@@ -124,15 +125,18 @@ def run_stacked(spark: SparkSession, sf: str, cfg: RunConfig | None = None, out:
     meta = {
         "base_models": names, "skipped": skipped, "cv_scores": base_scores, "stacker": best, "stacker_scores": st_scores, "stackers_skipped": st_skipped,
         "n_train": a.count(), "n_test": b.count(), "n_features": info["width"],
-        "feature_info": {k: v for k, v in info.items() if k != "singular_values"},
+        "feature_info": {k: v for k, v in info.items() if k not in ("singular_values", "fitted")},
     }
+    whole = ST.whole_pipeline(info["fitted"], fitted, stacker)
     if out:
         write_submission(pred, f"{out}/submission")
         write_run_metadata(spark, meta, f"{out}/metadata")
         for name, m in {**fitted, f"stacker-{best}": stacker}.items():
             m.write().overwrite().save(f"{out}/models/{name}")
+        whole.write().overwrite().save(f"{out}/pipeline")
     return {"train": a, "test": b, "oof": oof, "skipped": skipped, "fitted": fitted, "oof_matrix": mat, "stacker_oof": st_oof, "test_preds": test_preds,
-            "test_matrix": test_mat, "submission": submission, "meta": meta, "stacker_model": stacker}
+            "test_matrix": test_mat, "submission": submission, "meta": meta, "stacker_model": stacker,
+            "pipeline": whole}
 
 
 # ---- text pipeline -----------------------------------------------------------------------------
@@ -144,62 +148,65 @@ RIDGE_ALPHAS = [10 ** (-3 + 6 * i / 7) for i in range(8)]  # 8 values log-spaced
 L1_RATIOS = [0.05, 0.15, 0.3, 0.5]
 
 
-def _sparse_udf(size: int):
-    """(idx, w) arrays → SparseVector: one Python call per document, the only
-    way to hand a sparse row to Spark ML from the long form."""
-
-    @F.udf(VectorUDT())
-    def mk(idx, w):
-        if idx is None:
-            return SparseVector(size, [], [])
-        pairs = sorted(zip(idx, w))
-        return SparseVector(size, [p[0] for p in pairs], [p[1] for p in pairs])
-
-    return mk
-
-
-def text_matrices(train: DataFrame, test: DataFrame, params: T.TfidfParams = TEXT_PARAMS):
-    """Cleaned-text TF-IDF (sparse vector) ‖ unscaled numeric columns."""
-    from pyspark.ml.feature import VectorAssembler
-
+def text_rows(train: DataFrame, test: DataFrame, params: T.TfidfParams = TEXT_PARAMS):
+    """Both sets with ``idx`` and ``w`` (term numbers and TF-IDF weights of the
+    cleaned text, as arrays) beside ``num`` (the numeric columns, unscaled); the
+    indexed vocabulary and the names of the columns."""
     from ..operators.decompose import index_terms
 
+    if params.max_features is None or params.max_features > BROADCAST_MAX_ROWS:
+        raise ValueError(f"max_features must be set, and not exceed {BROADCAST_MAX_ROWS}")
     text = tx.preprocess(S.select_text_catalog(train))
     vocab, (xtr, xte) = T.fit_transform(train, [test], text, params)
-    terms = F.broadcast(index_terms(vocab))  # bounded by max_features
-    size = vocab.count()
-    mk = _sparse_udf(size)
+    terms = cut_lineage(index_terms(vocab))
+    num = S.common_numeric(train, test.drop("price"), exclude=("price", "fold", "cv_fold", "has_visual", "price_raw"))
 
     def rows(x: DataFrame, items: DataFrame) -> DataFrame:
-        g = x.join(terms, "term").groupBy("sample_id").agg(
-            F.collect_list("idx").alias("idx"), F.collect_list("weight").alias("w"))
-        return items.join(g, "sample_id", "left").withColumn("tfidf", mk("idx", "w")).drop("idx", "w")
+        g = x.join(F.broadcast(terms), "term").groupBy("sample_id").agg(F.collect_list(F.struct("idx", "weight")).alias("e"))
+        g = g.select("sample_id", F.col("e.idx").alias("idx"), F.col("e.weight").alias("w"))
+        keep = [c for c in ("sample_id", "price", "cv_fold") if c in items.columns]
+        numbers = F.array(*[F.col(c).cast("double") for c in num]) if num else F.array().cast("array<double>")
+        return S.fill_numeric_nulls(items, num).select(*keep, numbers.alias("num")).join(g, "sample_id", "left")
 
-    num = S.common_numeric(train, test.drop("price"), exclude=("price", "fold", "cv_fold", "has_visual", "price_raw"))
-    tr = S.fill_numeric_nulls(rows(xtr, train), num)
-    te = S.fill_numeric_nulls(rows(xte, test), num)
-    va = VectorAssembler(inputCols=num + ["tfidf"], outputCol="fv")
-    keep = [c for c in ("sample_id", "price", "cv_fold") if c in train.columns]
-    return va.transform(tr).select(*keep, "fv"), va.transform(te).select(*[c for c in keep if c in te.columns], "fv")
+    return rows(xtr, train), rows(xte, test), terms, num
 
 
-def run_text_models(spark: SparkSession, sf: str, alphas=None, l1_ratios=None, parallelism: int = 8,
-                    out: str | None = None) -> dict:
+def run_text_models(spark: SparkSession, sf: str, alphas=None, l1_ratios=None, out: str | None = None) -> dict:
+    """Ridge against elastic net on sparse text, each at its best setting by
+    cross-validated SMAPE; the winner is fitted on all rows.  ``fits`` has a row
+    a fit: how far its residual (ridge) or held-out error (SGD) came."""
+    alphas, l1_ratios = list(alphas or RIDGE_ALPHAS), list(l1_ratios or L1_RATIOS)
     train, test, _ = inputs(spark, sf)
-    a, b = (cut_lineage(x) for x in text_matrices(train, test))
-    # iterative solvers at the tolerance the reference's text models use (1e-4)
-    ridge_cv, ridge_scores = E.tune(R.Ridge(solver="l-bfgs", maxIter=100, tol=1e-4), R.Ridge.alpha,
-                                    alphas or RIDGE_ALPHAS, a, parallelism=parallelism)
-    enet_cv, enet_scores = E.tune(R.ElasticNet(alpha=1e-4, maxIter=100, tol=1e-4), R.ElasticNet.l1Ratio,
-                                  l1_ratios or L1_RATIOS, a, parallelism=parallelism)
-    r_best, e_best = min(ridge_scores, key=lambda t: t[1]), min(enet_scores, key=lambda t: t[1])
-    winner = ridge_cv.bestModel if r_best[1] <= e_best[1] else enet_cv.bestModel
-    pred = winner.transform(b).select("sample_id", price_floor("prediction").alias("prediction"))
+    a, b, terms, num = text_rows(train, test)
+    a, b = cut_lineage(a), cut_lineage(b)
+    table = SL.pack(a, len(num), terms.count())
+    ridge = SL.ridge_path(table, alphas, [*table.folds, -1])
+    sgd = SL.sgd_path(table, l1_ratios, table.folds)
+
+    def scores(paths: dict[int, SL.Path], n: int) -> list[float]:
+        p = a.select("price", "cv_fold", SL.predictions(a, paths, fold=F.col("cv_fold")).alias("p"))
+        rows = p.groupBy("cv_fold").agg(*[smape(F.col("p")[i], "price").alias(f"s{i}") for i in range(n)]).collect()
+        return [sum(r[f"s{i}"] for r in rows) / max(1, len(rows)) for i in range(n)]
+
+    ridge_scores = list(zip(alphas, scores(ridge, len(alphas))))
+    enet_scores = list(zip(l1_ratios, scores(sgd, len(l1_ratios))))
+    fits = [(m, f, float(v), float(paths[f].residual[i]), paths[f].passes) for m, paths, values in
+            (("ridge", ridge, alphas), ("elastic_net", sgd, l1_ratios)) for f in paths for i, v in enumerate(values)]
+    (r_at, r_best), (e_at, e_best) = min(ridge_scores, key=lambda t: t[1]), min(enet_scores, key=lambda t: t[1])
+    if r_best <= e_best:
+        k = alphas.index(r_at)
+        best = SL.Path(ridge[-1].coef[:, [k]], ridge[-1].intercept[[k]], ridge[-1].residual[[k]], ridge[-1].passes)
+    else:  # the last fit uses all rows, none held out
+        best = SL.sgd_path(table, [e_at], [-1], early=False)[-1]
+    pred = b.select("sample_id", price_floor(SL.predictions(b, {-1: best})[0]).alias("prediction"))
     summary = pred.agg(F.min("prediction").alias("min"), F.max("prediction").alias("max"),
                        F.avg("prediction").alias("mean"), F.stddev_pop("prediction").alias("std"))
     if out:
         write_submission(pred, f"{out}/submission")
-        winner.write().overwrite().save(f"{out}/models/best")
-    return {"ridge_scores": ridge_scores, "enet_scores": enet_scores,
-            "winner": "ridge" if r_best[1] <= e_best[1] else "elastic_net",
+        named = {r["idx"]: r["term"] for r in terms.collect()}  # bounded by max_features
+        weights = [(c, float(v)) for c, v in zip(num, best.coef[:, 0])] + [(named[j], float(v)) for j, v in enumerate(best.coef[len(num):, 0])]
+        spark.createDataFrame([("(intercept)", float(best.intercept[0])), *weights], "feature string, weight double"
+                              ).coalesce(1).write.mode("overwrite").parquet(f"{out}/models/best")
+    return {"ridge_scores": ridge_scores, "enet_scores": enet_scores, "fits": fits,
+            "winner": "ridge" if r_best <= e_best else "elastic_net",
             "predictions": pred, "summary": summary, "test": b}

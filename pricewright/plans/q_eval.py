@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 
 from ..functions import numeric as N
 from ..functions import text as tx
-from ..functions.hashing import fold_of, salted, uniform01
+from ..functions.hashing import salted, uniform01
 from ..operators import metrics as M
 from ..operators import select as S
+from ..operators.folds import fold_table
+from ..operators.select import array_width
 from ..sources.tables import catalog, read_table, train_test
 from . import sqlfrag as q
 from .registry import r6, register, with_catalog
@@ -33,7 +35,7 @@ def q_feature_discovery(spark, sf):
     # a wide table (label + f_0..f_63); discovery finds every numeric column but the id
     emb = read_table(spark, sf, "embeddings")
     wide = emb.select(F.col("vec_id").alias("sample_id"), "label",
-                      *[F.col("embedding")[i].alias(f"f_{i}") for i in range(64)])
+                      *[F.col("embedding")[i].alias(f"f_{i}") for i in range(array_width(emb, "embedding"))])
     cols = S.feature_columns(wide, "sample_id")
     return wide.select(F.col("sample_id").cast("string").alias("sample_id"),
                        F.array(*[F.col(c).cast("float") for c in cols]).alias("features"))
@@ -112,13 +114,14 @@ def q_feature_assemble(spark, sf):
     from pyspark.ml.functions import vector_to_array
 
     cat = catalog(spark, sf)
-    zeros = F.array_repeat(F.lit(0.0).cast("float"), 64)
+    width = array_width(cat, "embedding")
+    zeros = F.array_repeat(F.lit(0.0).cast("float"), width)
     df = cat.select("sample_id", tx.char_count("catalog_content").cast("double").alias("c"),
                     tx.word_count("catalog_content").cast("double").alias("w"),
                     F.col("p_size").cast("double").alias("p_size"), "n_chars", "has_visual",
                     F.coalesce("embedding", zeros).alias("vis"))
-    df = df.select("*", *[F.col("vis")[i].cast("double").alias(f"v{i}") for i in range(64)])
-    va = VectorAssembler(inputCols=["c", "w", "p_size", "n_chars", "has_visual"] + [f"v{i}" for i in range(64)],
+    df = df.select("*", *[F.col("vis")[i].cast("double").alias(f"v{i}") for i in range(width)])
+    va = VectorAssembler(inputCols=["c", "w", "p_size", "n_chars", "has_visual"] + [f"v{i}" for i in range(width)],
                          outputCol="fv", handleInvalid="keep")
     return va.transform(df).select(
         "sample_id", F.transform(vector_to_array("fv"), lambda v: F.round(v, 6)).alias("features"))
@@ -189,9 +192,9 @@ def q_feature_block_widths(spark, sf):
 
 # ---- rows 77-78, 91: folds, split, seeded baseline -----------------------------------------------
 
-@register("fold_assign", with_catalog(select=f"select sample_id, {q.fold('sample_id', 5, 42)} fold from catalog"))
+@register("fold_assign", with_catalog(select=f"select sample_id, {q.balanced_fold('sample_id', 5, 42)} fold from catalog"))
 def q_fold_assign(spark, sf):
-    return catalog(spark, sf).select("sample_id", fold_of(F.col("sample_id"), 5, 42).alias("fold"))
+    return fold_table(catalog(spark, sf).select("sample_id"), 5, 42, name="fold")
 
 
 @register("train_test_split", with_catalog(select=f"""

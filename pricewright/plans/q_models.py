@@ -11,15 +11,16 @@ to 3 decimals on both sides (iterative solvers agree to ~1e-9).
 
 from __future__ import annotations
 
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.hashing import fold_of
 from ..operators import decompose
 from ..operators import ensemble as E
 from ..operators import metrics as M
 from ..operators import regress as R
+from ..operators import sparse_linear as SL
+from ..operators.folds import with_folds
 from ..operators.visual import VisualBlock, visual_dim, visual_join
 from ..session import scratch_path
 from ..sources import csv as C
@@ -40,7 +41,7 @@ def r3(c):
 
 # ---- closed-form SQL ------------------------------------------------------------------------------
 
-_CV = q.fold("sample_id", 5, 42)
+_CV = q.balanced_fold("sample_id", 5, 42)  # over the rows that the query selects
 
 
 def ridge_fit_sql(x: str, alpha: float, name: str = "c") -> str:
@@ -68,7 +69,7 @@ def ridge_oof_sql(x: str, alpha: float, name: str) -> list[str]:
 
 def _one_feature(spark, sf, x: str):
     train, test = train_test(catalog(spark, sf))
-    train = train.withColumn("cv_fold", fold_of(F.col("sample_id"), 5, 42))
+    train = with_folds(train, 5, 42)
 
     def vec(df):
         return df.withColumn("fv", array_to_vector(F.array(F.col(x).cast("double"))))
@@ -165,7 +166,7 @@ def _l1_sql(ratios: list[float]) -> str:
         "s as (select f.cv, a.n - f.n n, (a.sx - f.sx) / (a.n - f.n) mx, (a.sy - f.sy) / (a.n - f.n) my, "
         "(a.sxx - f.sxx) / (a.n - f.n) exx, (a.sxy - f.sxy) / (a.n - f.n) exy from f, (select sum(n) n, sum(sx) sx, "
         "sum(sy) sy, sum(sxx) sxx, sum(sxy) sxy from f) a)",
-        f"r as (select unnest({[float(r) for r in ratios]}) l1_ratio)",
+        f"r as (select unnest({[float(r) for r in ratios]})::double l1_ratio)",
         "w as (select cv, l1_ratio, mx, my, sign(exy - mx * my) * greatest(abs(exy - mx * my) - 1e-4::double * l1_ratio, 0) "
         "/ (exx - mx * mx + 1e-4::double * (1 - l1_ratio)) b from s, r)",
         f"p as (select cv, l1_ratio, {q.smape('my - b * mx + b * x', 'y')} s from t join w using (cv) group by cv, l1_ratio)",
@@ -208,7 +209,7 @@ def q_oof_union(spark, sf):
 
 def _two_feature_oof(spark, sf) -> DataFrame:
     train, _ = train_test(catalog(spark, sf))
-    tr = train.withColumn("cv_fold", fold_of(F.col("sample_id"), 5, 42)).withColumns({
+    tr = with_folds(train, 5, 42).withColumns({
         "fv_n": array_to_vector(F.array(F.col("n_chars").cast("double"))),
         "fv_s": array_to_vector(F.array(F.col("p_size").cast("double")))})
     return E.oof_predictions(tr, {"ridge_n_chars": R.Ridge(alpha=1.0, featuresCol="fv_n"),
@@ -296,6 +297,25 @@ def q_batch_score(spark, sf):
     return back.select("sample_id", r3("price").alias("price"))
 
 
+@register("score_raw_items")
+def q_score_raw_items(spark, sf):
+    """The whole run with linear members, stored as one pipeline; new items arrive
+    as CSV and are scored from their raw text with the loaded pipeline."""
+    from pyspark.ml import PipelineModel
+
+    cfg = PL.RunConfig(models=("ridge", "elastic_net"), gbt_rounds=50)
+    out = scratch_path(spark, "whole-run")
+    PL.run_stacked(spark, sf, cfg, out=out)
+    _, test = train_test(catalog(spark, sf))
+    new_csv = scratch_path(spark, "raw-items")
+    C.write_csv(test.select("sample_id", "catalog_content", "image_link", "p_brand", "p_type", "p_size", "n_chars"), new_csv)
+    items = C.read_csv(spark, new_csv, "sample_id string, catalog_content string, image_link string, p_brand string, p_type string, "
+                       "p_size int, n_chars double")
+    vis = visual_features(read_table(spark, sf, "embeddings"), id_col="vec_id", vec_col="embedding")
+    scored = PipelineModel.load(f"{out}/pipeline").transform(items.join(vis, "sample_id", "left"))
+    return scored.select("sample_id", r3("price").alias("price"))
+
+
 @register("row_predictor_udf", with_catalog(select=f"""
 select sample_id, round(5 + 495 * {q.uniform01("'42:' || sample_id")}, 2) price from catalog where fold = 0"""))
 def q_row_predictor_udf(spark, sf):
@@ -381,7 +401,13 @@ def _fit_test(spark, sf, est) -> DataFrame:
 
 @register("sgd_elastic_net")
 def q_sgd_elastic_net(spark, sf):
-    return _fit_test(spark, sf, R.ElasticNet(alpha=1e-4, l1Ratio=0.15, maxIter=2000))
+    """Stochastic steps on the whole matrix."""
+    a, b, info = PL.prepare(spark, sf, CHECK)
+    rows = [x.select("sample_id", *[c for c in ("price",) if c in x.columns], vector_to_array("fv").alias("num"),
+                     F.lit(None).cast("array<int>").alias("idx"), F.lit(None).cast("array<double>").alias("w")) for x in (a, b)]
+    table = SL.pack(rows[0], info["width"], 0, fold=None)
+    best = SL.sgd_path(table, [0.15], [-1])
+    return rows[1].select("sample_id", r3(SL.predictions(rows[1], best)[0]).alias("prediction"))
 
 
 @register("random_forest")
@@ -446,8 +472,18 @@ def q_feature_importance(spark, sf):
 
 @register("text_model_compare")
 def q_text_model_compare(spark, sf):
+    """A row a setting: its score, how far its fits came, and whether it won;
+    beside it the summary of the winner's predictions."""
     res = PL.run_text_models(spark, sf)
-    return res["summary"].withColumn("winner", F.lit(res["winner"]))
+    best = {m: min(s, key=lambda t: t[1])[0] for m, s in (("ridge", res["ridge_scores"]), ("elastic_net", res["enet_scores"]))}
+    rows = []
+    for m, scores in (("ridge", res["ridge_scores"]), ("elastic_net", res["enet_scores"])):
+        for v, s in scores:
+            mine = [x for x in res["fits"] if x[0] == m and x[2] == v]
+            rows.append((m, float(v), float(s), max(x[3] for x in mine), max(x[4] for x in mine), len(mine),
+                         m == res["winner"] and v == best[m]))
+    out = spark.createDataFrame(rows, "model string, value double, cv_smape double, worst_residual double, passes long, fits long, chosen boolean")
+    return out.crossJoin(F.broadcast(res["summary"]))  # one row
 
 
 # ---- row 8: run metadata ------------------------------------------------------------------------------

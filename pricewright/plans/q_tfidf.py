@@ -7,6 +7,8 @@ max_df 0.8, 5,000 terms; sublinear tf, accents stripped.
 
 from __future__ import annotations
 
+import dataclasses
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,8 +23,8 @@ TEXT = "catalog_content"
 
 # ---- DuckDB twins ---------------------------------------------------------------------------
 
-def _word_terms_sql(name: str, stop: bool, ngram_max: int) -> str:
-    toks = q.word_tokens(q.analyzer_text(TEXT))
+def _word_terms_sql(name: str, stop: bool, ngram_max: int, accents: bool = True) -> str:
+    toks = q.word_tokens(q.analyzer_text(TEXT) if accents else f"lower(coalesce({TEXT}, ''))")
     if stop:
         toks = q.remove_stop_words(toks)
     arms = [f"select sample_id, fold, unnest(w) term from {name}_t"]
@@ -45,7 +47,7 @@ def _char_terms_sql(name: str, n_min: int, n_max: int) -> str:
 def tfidf_ctes(name: str, p: T.TfidfParams) -> list[str]:
     a = p.analyzer
     terms = (_char_terms_sql(name, a.ngram_min, a.ngram_max) if a.kind == "char_wb"
-             else _word_terms_sql(name, a.stop_words, a.ngram_max))
+             else _word_terms_sql(name, a.stop_words, a.ngram_max, a.strip_accents))
     lo = f"{p.min_df} * n" if isinstance(p.min_df, float) and p.min_df < 1.0 else f"{p.min_df}"
     hi = f"{p.max_df} * n" if isinstance(p.max_df, float) and p.max_df <= 1.0 else f"{p.max_df}"
     lim = f"order by tc desc, term asc limit {p.max_features}" if p.max_features else ""
@@ -116,34 +118,51 @@ select sample_id, substr(term, 1, 1) block, count(*) n_terms, round(sum(weight),
   round(sum(weight * weight), 6) sq_norm
 from (select * from a_w union all select * from b_w) group by sample_id, substr(term, 1, 1)"""))
 def q_text_hstack(spark, sf):
-    _, ww = tfidf_all(spark, sf, WORD)
-    _, wc = tfidf_all(spark, sf, CHAR)
-    both = ww.unionByName(wc)  # the blocks stay apart by their term prefix
+    train, test = train_test(catalog(spark, sf))
+    _, (a, b) = T.fit_transform_blocks(train, [test], TEXT, [WORD, CHAR])
+    both = a.unionByName(b)  # the blocks stay apart by their term prefix
     return both.groupBy("sample_id", F.substring("term", 1, 1).alias("block")).agg(
         F.count(F.lit(1)).alias("n_terms"), r6(F.sum("weight")).alias("sum_weight"),
         r6(F.sum(F.col("weight") * F.col("weight"))).alias("sq_norm"))
 
 
-def validate(p: T.TfidfParams) -> T.TfidfParams:
-    """Up-front parameter checks replacing the reference's retry ladder."""
-    if p.max_features is not None and p.max_features <= 0:
-        raise ValueError("max_features must be positive")
-    if isinstance(p.max_df, float) and not 0 < p.max_df <= 1.0:
-        raise ValueError("fractional max_df must be in (0, 1]")
-    if p.analyzer.ngram_min > p.analyzer.ngram_max:
-        raise ValueError("ngram_min > ngram_max")
-    return p
-
-
-@register("tfidf_config_ladder", with_catalog(*tfidf_ctes("a", WORD)[:5], *tfidf_ctes("b", CHAR)[:5], select="""
-select 'word' block, count(*) n_terms from a_voc union all select 'char', count(*) from b_voc"""))
+# The settings of the reference's ladder.  The settings after them
+# show what cannot be used, and what has no term.
+_LADDERS = {
+    "word": [WORD, T.TfidfParams(T.Analyzer("word", 1, 1, strip_accents=False), min_df=10, max_df=0.9, max_features=8000)],
+    "char": [CHAR],
+    "invalid": [dataclasses.replace(WORD, max_df=1.5), dataclasses.replace(WORD, max_features=0),
+                dataclasses.replace(CHAR, analyzer=T.Analyzer("char_wb", 4, 2))],
+    "rare": [dataclasses.replace(WORD, min_df=1_000_000_000), dataclasses.replace(WORD, max_features=40)],
+    "none": [dataclasses.replace(CHAR, min_df=1_000_000_000)],
+}
+SVD_WIDTH = 150
+
+
+def _ladder_sql() -> str:
+    ctes, arms = [], []
+    for name, ladder in _LADDERS.items():
+        for k, p in enumerate(ladder):
+            key = f"{name}_{k}"
+            if T.invalid(p):
+                ctes.append(f"{key}_n_terms as (select 0::bigint n, '{T.invalid(p).replace(chr(39), '')}' why)")
+            else:
+                ctes += tfidf_ctes(key, p)[:5]
+                ctes.append(f"{key}_n_terms as (select count(*) n, case when count(*) = 0 then 'empty vocabulary' end why from {key}_voc)")
+            earlier = " and ".join(["why is null", *[f"(select why from {name}_{j}_n_terms) is not null" for j in range(k)]])
+            arms.append(f"select '{name}' block, {k} step, why reason, n n_terms, {earlier} chosen, "
+                        f"least({SVD_WIDTH}, n)::int svd_width from {key}_n_terms")
+    return with_catalog(*ctes, select=" union all ".join(arms))
+
+
+@register("tfidf_config_ladder", _ladder_sql())
 def q_tfidf_config_ladder(spark, sf):
+    """One row a setting: why it is unusable, its terms, whether the ladder stops
+    there, and the width of its SVD (an empty block has none)."""
     train, _ = train_test(catalog(spark, sf))
-    out = None
-    for name, p in (("word", WORD), ("char", CHAR)):
-        p = validate(p)
-        v = T.fit_vocabulary(T.term_counts(train, TEXT, p.analyzer), T.n_docs_of(train), p)
-        # an empty vocabulary yields an empty block, not an error
-        part = v.agg(F.count(F.lit(1)).alias("n_terms")).select(F.lit(name).alias("block"), "n_terms")
-        out = part if out is None else out.unionByName(part)
-    return out
+    train = train.select("sample_id", TEXT)
+    rows = []
+    for name, ladder in _LADDERS.items():
+        for k, r in enumerate(T.climb(train, TEXT, ladder)):
+            rows.append((name, k, r.reason, r.n_terms, r.chosen, min(SVD_WIDTH, r.n_terms)))
+    return spark.createDataFrame(rows, "block string, step int, reason string, n_terms long, chosen boolean, svd_width int")

@@ -107,3 +107,8 @@ def fold(key: str, k: int = 5, seed: int | None = 42) -> str:
 
 def uniform01(key: str) -> str:
     return f"('0x' || substr(md5(cast({key} as varchar)), 1, 8))::bigint::double / 4294967296e0"
+
+
+def balanced_fold(key: str, k: int, seed: int) -> str:
+    """Rank by the seeded hash of the id, dealt out in turn, over the selected rows."""
+    return (f"((row_number() over (order by ('0x'||substr(md5('{seed}:' || {key}),1,8))::bigint, {key}) - 1) % {k})::int")

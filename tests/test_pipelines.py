@@ -53,6 +53,16 @@ def test_stored_run(spark, tmp_path):
         a = {r["sample_id"]: r["prediction"] for r in model.transform(res["test"]).collect()}
         b = {r["sample_id"]: r["prediction"] for r in loaded.transform(res["test"]).collect()}
         assert a.keys() == b.keys() and max(abs(a[k] - b[k]) for k in a) < 1e-9
+    # the whole pipeline, loaded again, scores raw items as the run did
+    from pyspark.ml import PipelineModel
+
+    from pricewright.sources.tables import catalog, train_test
+    _, items = train_test(catalog(spark, SF_SMALL))
+    raw = items.select("sample_id", "catalog_content", "image_link", "p_brand", "p_type", "p_size", "n_chars", F.col("embedding").alias("features"))
+    for pipe in (res["pipeline"], PipelineModel.load(f"{out}/pipeline")):
+        got = {r["sample_id"]: r["price"] for r in pipe.transform(raw).collect()}
+        want = {r["sample_id"]: r["price"] for r in res["submission"].collect()}
+        assert got.keys() == want.keys() and max(abs(got[k] - want[k]) for k in want) < 1e-9
     # every item of train and test went through the whole matrix
     assert res["train"].count() + res["test"].count() == 200
     widths = {len(r["fv"]) for r in res["train"].select("fv").collect()}

@@ -5,10 +5,9 @@ from collections import Counter
 
 import pytest
 import regex
-from pyspark.sql import functions as F
 
 from pricewright.functions import text as tx
-from pricewright.functions.counting import term_count_rows
+from pricewright.functions import counting
 
 DOCS = ["Hello  wörld, the café is OPEN 24h", "a", "", None, "ab cd\tef\ngh  ij", "The the THE and of x1 y22",
         "naïve résumé — coöperate", "one two three four five"]
@@ -48,7 +47,7 @@ def _words(t, stop, n_max):
 def test_char_wb(spark, lo, hi):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(DOCS)], "i int, t string")
     jvm = df.select("i", tx.char_wb_ngrams(tx.analyzer_text("t"), lo, hi).alias("g")).collect()
-    py = df.select("i", term_count_rows(F.col("t"), "char_wb", lo, hi, None, True)).collect()
+    py = counting.count_terms(df, "i", "t", {"c": ("char_wb", lo, hi, None, True)}).collect()
     for i, t in enumerate(DOCS):
         want = _char_wb(_analyze(t), lo, hi)
         assert Counter(next(r["g"] for r in jvm if r["i"] == i)) == want
@@ -60,8 +59,39 @@ def test_word_ngrams(spark):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(DOCS)], "i int, t string")
     toks = tx.remove_stop_words(tx.word_tokens(tx.analyzer_text("t")))
     jvm = df.select("i", tx.word_ngrams(toks, 3).alias("g")).collect()
-    py = df.select("i", term_count_rows(F.col("t"), "word", 1, 3, stop, True)).collect()
+    py = counting.count_terms(df, "i", "t", {"w": ("word", 1, 3, stop, True)}).collect()
     for i, t in enumerate(DOCS):
         want = _words(_analyze(t), set(stop), 3)
         assert Counter(next(r["g"] for r in jvm if r["i"] == i)) == want
         assert {r["term"]: r["tf"] for r in py if r["i"] == i} == dict(want)
+
+
+def test_slices_are_bounded_and_whole(spark, monkeypatch):
+    """Rows leave in slices of a fixed size, whatever a text or a batch holds."""
+    import pandas as pd
+
+    monkeypatch.setattr(counting, "SLICE_ROWS", 7)
+    seen = {}
+
+    class Docs:
+        schema = spark.createDataFrame([], "i int, t string").schema
+
+        def select(self, *cols):
+            return self
+
+        def mapInPandas(self, run, shape):
+            texts = [" ".join(f"w{j}" for j in range(k)) for k in (0, 3, 40, 1)]
+            seen["parts"] = list(run(iter([pd.DataFrame({"i": range(4), "t": texts}), pd.DataFrame({"i": [9], "t": [None]})])))
+            return shape
+
+    counting.count_terms(Docs(), "i", "t", {"w": ("word", 1, 1, None, True), "c": ("char_wb", 2, 2, None, True)})
+    assert all(len(p) <= 7 for p in seen["parts"]) and all(len(p) == 7 for p in seen["parts"][:-1])
+    rows = pd.concat(seen["parts"])
+    assert (rows[rows.block == "w"].groupby("i").size() == pd.Series({1: 3, 2: 40, 3: 1})).all()
+
+
+def test_distinct_characters(spark):
+    texts = ["", None, "aab", "é😀é", "a" * 5000, "ab" * 700 + "c"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = {r["i"]: r["r"] for r in df.select("i", tx.unique_char_ratio("t").alias("r")).collect()}
+    assert got == {i: (len(set(t)) / len(t) if t else 0.0) for i, t in enumerate(texts)}
