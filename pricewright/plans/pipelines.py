@@ -180,7 +180,7 @@ def run_text_models(spark: SparkSession, sf: str, alphas=None, l1_ratios=None, o
     a, b, terms, num = text_rows(train, test)
     a, b = cut_lineage(a), cut_lineage(b)
     table = SL.pack(a, len(num), terms.count())
-    ridge = SL.ridge_path(table, alphas, [*table.folds, -1])
+    ridge = SL.ridge_path(table, alphas, [*table.folds, -1], tolerance=1e-4)  # the reference's solver tolerance
     sgd = SL.sgd_path(table, l1_ratios, table.folds)
 
     def scores(paths: dict[int, SL.Path], n: int) -> list[float]:
