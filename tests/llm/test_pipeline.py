@@ -50,13 +50,23 @@ def test_contaminated_documents_go(spark, duck_small):
     assert {r["doc_id"] for r in got.collect()} == clean
 
 
-def test_edges_run_through(spark, clashing, empty, tmp_path):
-    for df in (clashing, empty):
+def test_edges_run_through(spark, clashing, empty):
+    from pyspark.sql import functions as F
+
+    names = ["__key", "__size", "__rid", "__lang", "__draw", "__tie", "__score", "__row", "more", "row"]
+    own = clashing.drop(*names).withColumns({c: F.lit(f"mine {c}") for c in names})
+    for df in (own, empty):
         held = df
-        for _, stage in corpus_pipeline.STAGES:
+        for name, stage in corpus_pipeline.STAGES:
             out = stage(spark, held, SF_SMALL)
-            held = spark.createDataFrame(out.collect(), out.schema)
+            rows = out.collect()
+            for r in rows if df is own else ():
+                assert all(r[c] == f"mine {c}" for c in names), name
+            if name != "sharding":
+                assert out.columns == df.columns
+            held = spark.createDataFrame(rows, out.schema)
         assert set(df.columns) - {"size", "shard", "slot"} <= set(held.columns)
+        assert {"size", "shard", "slot"} <= set(held.columns)
 
 
 def test_no_language_learned_keeps_texts_with_a_letter(spark, edge):
