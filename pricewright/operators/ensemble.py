@@ -95,23 +95,25 @@ def _width(df: DataFrame, vec: str) -> int:
 
 
 def oof_predictions(train: DataFrame, models: dict[str, Estimator], fold_col: str = "cv_fold", k: int = 5,
-                    label: str = "price", parallelism: int = 4, skipped: dict[str, str] | None = None) -> DataFrame:
+                    label: str = "price", parallelism: int = 4, skipped: dict[str, str] | None = None,
+                    full: dict[str, Model] | None = None) -> DataFrame:
     """(sample_id, model, prediction, price): every training row predicted by a
     model fitted without its fold (row 84); the union over folds covers every
     row exactly once per model (row 58).
 
     A member that fails, while it is fitted or while it predicts, is an error,
     unless ``skipped`` is given: it then gets the member's name and reason, and
-    the others go on; none left is an error."""
+    the others go on; none left is an error.  ``full``, if given, gets the
+    members fitted on all rows, which are trained together with the folds."""
     vectors = sorted({est.getOrDefault("featuresCol") for est in models.values()})
     width = sum(_width(train, v) for v in vectors)
     train = fit_table(train.select("sample_id", fold_col, label, *vectors), 8 * width + 64)
-    fitted = fit_folds(train, models, fold_col, list(range(k)), parallelism)
+    fitted = fit_folds(train, models, fold_col, [*range(k), *([-1] if full is not None else [])], parallelism)
     parts = []
     for name in models:
         try:
             mine = [fitted[name, f] for f in range(k)]
-            for m in mine:
+            for m in (fitted[key] for key in fitted if key[0] == name):
                 if isinstance(m, Exception):
                     raise m
             out = None
@@ -122,6 +124,8 @@ def oof_predictions(train: DataFrame, models: dict[str, Estimator], fold_col: st
             # one reliable checkpoint a member: a failure while predicting shows here,
             # and later steps do not carry a long union lineage
             parts.append(cut_lineage(out))
+            if full is not None:
+                full[name] = fitted[name, -1]
         except Exception as e:
             if skipped is None:
                 raise

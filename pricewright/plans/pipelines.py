@@ -66,14 +66,6 @@ def prepare(spark: SparkSession, sf: str, cfg: RunConfig):
     return fit_table(E.with_vector(a).drop("features"), size), fit_table(E.with_vector(b).drop("features"), size), info
 
 
-def fit_all(models: dict, fit_df: DataFrame, parallelism: int) -> dict:
-    fitted = E.fit_folds(fit_df, models, None, [-1], parallelism)
-    for m in fitted.values():
-        if isinstance(m, Exception):
-            raise m
-    return {n: fitted[n, -1] for n in models}
-
-
 def predict_all(fitted: dict, pred_df: DataFrame) -> DataFrame:
     parts = [m.transform(pred_df).select("sample_id", F.lit(name).alias("model"), "prediction") for name, m in fitted.items()]
     out = parts[0]
@@ -92,7 +84,8 @@ def run_stacked(spark: SparkSession, sf: str, cfg: RunConfig | None = None, out:
     if cfg.models:
         models = {k: v for k, v in models.items() if k in cfg.models}
     skipped: dict[str, str] = {}
-    oof = E.oof_predictions(a, models, k=K_FOLDS, parallelism=cfg.parallelism, skipped=skipped)
+    fitted: dict = {}  # on all rows, trained together with the folds
+    oof = E.oof_predictions(a, models, k=K_FOLDS, parallelism=cfg.parallelism, skipped=skipped, full=fitted)
     models = {k: v for k, v in models.items() if k not in skipped}
     names = list(models)
     base_scores = {r["model"]: r["smape"] for r in E.oof_scores(oof).collect()}  # one row per model
@@ -107,8 +100,7 @@ def run_stacked(spark: SparkSession, sf: str, cfg: RunConfig | None = None, out:
     order = [m for m in stackers if m in st_scores]
     best = min(order, key=lambda m: (st_scores[m], order.index(m)))  # earlier wins ties
 
-    # refit bases on all rows, predict test; stacker on OOF (default) or in-sample
-    fitted = fit_all(models, a, cfg.parallelism)
+    # bases on all rows predict test; stacker on OOF (default) or in-sample
     test_preds = predict_all(fitted, b)
     test_mat = test_preds.groupBy("sample_id").pivot("model", names).agg(F.first("prediction"))
     test_mat = test_mat.withColumn("sv", array_to_vector(F.array(*[F.col(m) for m in names])))
