@@ -29,9 +29,10 @@ def test_registry_fits_all_counts(spark, monkeypatch):
 @pytest.mark.parametrize("query", [Q.q_stacker_select, Q.q_stack_fit_predict, Q.q_run_metadata])
 def test_stacked_queries_run_all_members(spark, monkeypatch, query):
     seen = []
-    monkeypatch.setattr(PL, "run_stacked", lambda s, sf, cfg=None, out=None: seen.append(cfg) or MagicMock())
+    res = {"meta": {"stackers_skipped": {}, "stacker": "ridge"}, "stacker_oof": None, "submission": MagicMock()}
+    monkeypatch.setattr(PL, "run_stacked", lambda s, sf, cfg=None, out=None: seen.append(cfg) or res)
     monkeypatch.setattr(Q, "scratch_path", lambda s, name: name)
-    monkeypatch.setattr(Q.E, "oof_scores", lambda oof: MagicMock())
+    monkeypatch.setattr(Q.E, "oof_scores", lambda oof: spark.createDataFrame([("ridge", 1.0)], "model string, smape double"))
     query(MagicMock() if query is Q.q_run_metadata else spark, "")
     cfg = seen[0]
     assert cfg.models is None and cfg.gbt_rounds is None and cfg.rf_trees is None and cfg.tree_scale == 1.0
