@@ -68,7 +68,8 @@ def count_terms(docs: DataFrame, id_col: str, text_col: str, analyzers: dict[str
         held: tuple[list, list, list, list] = ([], [], [], [])
 
         def flush(n: int) -> pd.DataFrame:
-            out = pd.DataFrame(dict(zip((id_col, "block", "term", "tf"), (c[:n] for c in held))))
+            # plain objects: Arrow-backed strings may come in chunks, which Spark does not take
+            out = pd.DataFrame({k: pd.Series(c[:n], dtype=object) for k, c in zip((id_col, "block", "term", "tf"), held)})
             for c in held:
                 del c[:n]
             return out
