@@ -128,9 +128,9 @@ def with_next(docs: DataFrame) -> DataFrame:
         # bitwise not turns descending ids into ascending keys without overflow
         F.coalesce(F.bitwise_not(F.col("doc_id").cast("long")), F.lit(-(MIN_LONG + 1))).alias("__key"),
         F.concat(F.when(F.col("doc_id").isNull(), "1").otherwise("0"), text_key()).alias("__tie"))
-    narrow = cut_lineage(keyed.select("__key", "__tie", (F.octet_length("text") + 1).cast("long").alias("__size")))
+    narrow = cut_lineage(keyed.select("__key", "__tie", (F.octet_length("text") + 1).cast("long").alias("__bytes")))
     n = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    bounds = quantiles(size_weighted_sample(narrow, n * 16), n)
+    bounds = quantiles([x[:2] for x in size_weighted_sample(narrow, n * 16)], n)
     heads = narrow.withColumn("__range", range_of(bounds)).groupBy("__range").agg(
         F.min(F.struct("__key", "__tie")).alias("h")).orderBy("__range").collect()  # a row for each range
     ranges = [r["__range"] for r in heads]

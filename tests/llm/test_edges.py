@@ -1,9 +1,12 @@
 """Every operator on the edge tables: defined results, extra columns, empty input."""
 
+import collections
+import hashlib
 import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from pricewright.llm import (decontam, langid, mixing, neardup, quality, secret_scan, sharding, syncmers, tokencount,
                              toxicity)
@@ -88,6 +91,56 @@ def test_shards_of_rows_that_all_agree(spark):
     assert [sum(r["shard"] == s for r in got) for s in range(8)] == [5] * 8
 
 
+def test_shards_of_hot_equal_rows_follow_running_bytes(spark):
+    """A third of all rows are copies without an id: against a plain walk in key order."""
+    rows = [(None, "hot text " * 6)] * 4000 + [(k, f"text {k} " + "y" * (k % 90)) for k in range(8000)]
+    rows += [(5, "text 5 again")] * 30 + [(None, None)] * 50
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    got = sorted((hashlib.md5("".join(r[1] or "").encode()).hexdigest(), -1 if r[0] is None else r[0], len(r[1] or "") + 1) for r in rows)
+    total, at, want = sum(r[2] for r in got), 0, collections.Counter()
+    for _, i, size in got:
+        want[i, size, min(7, (2 * at + size) * 8 // (2 * total))] += 1
+        at += size
+    made = sharding.shard_digest(df).collect()
+    assert collections.Counter((-1 if r["doc_id"] is None else r["doc_id"], r["size"], r["shard"]) for r in made) == want
+    for s in range(8):
+        mine = sorted(r["slot"] for r in made if r["shard"] == s)
+        assert mine == list(range(len(mine)))
+
+
+def test_hot_equal_rows_have_a_range_of_their_own(spark):
+    rows = [("a", 1, 10)] * 1 + [(f"k{k:04}", k, 10) for k in range(2000)]
+    keys = spark.createDataFrame([(k, t, s, s * (1000 if k == "k0700" else 1), 1000 if k == "k0700" else 1) for k, t, s in rows],
+                                 "__key string, __tie long, __size long, __bytes long, __rows long")
+    bounds, held, hot = sharding.splitters_for(keys, 64)
+    assert [held[k] for k in hot] == [(10_000, 1000)]
+
+
+@pytest.mark.parametrize("most", [1000, 0])  # groups are broadcast, or meet in a salted join
+def test_mix_of_rows_that_agree(spark, most):
+    rows = [(None, "w " * 10, "a")] * 4000 + [(k, "w " * 10, "b") for k in range(1000)] + [(7, "w w", None)] * 3
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    took = mixing.copies(df, max_broadcast=most).groupBy("source").agg(
+        F.sum(F.col("__size") * F.col("__copies")).alias("n"), F.first("__target").alias("t"), F.count("*").alias("rows"),
+        F.max("__copies").alias("most"), F.min("__copies").alias("least")).collect()
+    assert {r["source"]: r["rows"] for r in took} == {"a": 4000, "b": 1000, None: 3}
+    for r in took:
+        assert r["most"] - r["least"] <= 1 and r["most"] <= 2
+        if r["source"] == "a":
+            assert abs(r["n"] - r["t"]) <= 10
+    assert mixing.mix_digest(df).count() == 5003
+
+
+def test_quality_numbers_do_not_depend_on_slices():
+    text = "The quick fox, the lazy dog.\n\n  And 12 more!\n" * 40 + "x" * 90 + " end\n" + "The quick fox, the lazy dog.\n" * 9
+    whole = quality.features(text)
+    for size in (7, 16, 50, 333):
+        assert np.allclose(quality.features(text, size), whole, rtol=0, atol=1e-12)
+    words, lines = text.split(), [x for x in text.split("\n") if x.strip()]
+    at = len(quality.CLASSES)
+    assert whole[at + 3] == len(set(words)) / len(words) and whole[at + 4] == len(set(lines)) / len(lines)
+
+
 def test_targets_fill_like_connected_vessels():
     got = mixing.targets([10, 100, 1000], [5.0, 2.0, 1.0], 1665.0, 2.0)
     assert got == [20.0, 200.0, 1445.0]
@@ -97,10 +150,12 @@ def test_targets_fill_like_connected_vessels():
 def test_mix_repeats_rows(edge):
     from pyspark.sql import functions as F
 
-    copies = {tuple(r[:4]): r["__copies"] for r in mixing.copies(edge).select(*edge.columns[:4], "__copies").collect()}
+    copies: dict = collections.Counter()
+    for r in mixing.copies(edge).select(*edge.columns[:4], "__copies").collect():
+        copies[tuple(r[:4])] += r["__copies"]
     out = mixing.mix(edge)
     assert out.columns == edge.columns
     given = edge.groupBy(*edge.columns[:4]).agg(F.count("*").alias("n")).collect()
     took = {tuple(r[:4]): r["n"] for r in out.groupBy(*edge.columns[:4]).agg(F.count("*").alias("n")).collect()}
     for r in given:
-        assert took.get(tuple(r[:4]), 0) == r["n"] * copies[tuple(r[:4])]
+        assert took.get(tuple(r[:4]), 0) == copies[tuple(r[:4])]
