@@ -6,6 +6,7 @@ import gc
 import os
 
 import numpy as np
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,9 +22,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def tokenizer_path(name: str) -> str:
-    """Place of a public vocabulary file; the folder is a parameter of the
-    installation (``PUBLIC_TOKENIZERS``, by default the box's folder)."""
-    return os.path.join(os.environ.get("PUBLIC_TOKENIZERS", "/opt/tokenizers"), name)
+    """Place of a vocabulary file on the machine that asks: a path as it is, a
+    bare name among the files of the installed ``public_tokenizers``."""
+    return name if os.path.dirname(name) else public_tokenizers.path(name)
 
 
 def filled(c: str = "text") -> Column:

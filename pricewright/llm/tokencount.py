@@ -14,7 +14,9 @@ get whole texts.
 
 Edge cases: null counts as empty (0 bytes, 0 tokens); special strings inside a
 text are handled as the library does by default; no begin, end or added tokens,
-no truncation or padding.
+no truncation or padding.  Every row is counted by itself: repeated rows and equal
+ids repeat their counts, an empty table gives an empty result, and a further
+column named ``__n_tokens`` is replaced.
 """
 
 from __future__ import annotations
@@ -136,23 +138,24 @@ class Encoder:
 
 
 def token_counts(docs: DataFrame, tokenizer: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
-    """``__n_tokens`` beside the columns of the documents.  ``tokenizer`` is the
-    path of a tokenizers ``.json`` or a sentencepiece ``.model`` file that every
-    executor can read."""
+    """``__n_tokens`` beside the columns of the documents.  ``tokenizer`` is a
+    tokenizers ``.json`` or a sentencepiece ``.model`` file: its path, the same on
+    every executor, or its name in ``public_tokenizers``, which each executor looks
+    up for itself."""
     @F.pandas_udf("long")
     def count(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task, one core
-        encoder = Encoder(tokenizer, chunk, overlap)
+        encoder = Encoder(tokenizer_path(tokenizer), chunk, overlap)
         for t in texts:
             yield pd.Series(encoder.count(list(t)), dtype="int64")
 
     return with_columns_of(docs, __n_tokens=count(filled()))
 
 
-def token_digest(docs: DataFrame, tokenizer: str | None = None, limit: int = 2048) -> DataFrame:
+def token_digest(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", limit: int = 2048) -> DataFrame:
     """One row a document: bytes, tokens, and whether it exceeds ``limit``."""
-    rows = token_counts(docs.select("doc_id", "text"), tokenizer or tokenizer_path("word_bpe_49k.json"))
+    rows = token_counts(docs.select("doc_id", "text"), tokenizer)
     return rows.select("doc_id", F.octet_length(filled()).cast("long").alias("n_bytes"),
                        F.col("__n_tokens").alias("n_tokens"), (F.col("__n_tokens") > limit).alias("over_limit"))

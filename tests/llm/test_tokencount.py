@@ -3,6 +3,7 @@
 import json
 import random
 
+import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
@@ -64,3 +65,10 @@ def test_digest_with_nulls_repeats_and_extra_columns(spark, lib):
     want = sorted([(i, len((t or "").encode()), whole(lib, t or ""), whole(lib, t or "") > 2048) for i, t, _ in rows], key=repr)
     assert got == want
     assert token_digest(df.limit(0)).count() == 0
+
+
+def test_files_are_found_by_name_or_path(spark):
+    assert tokenizer_path("word_bpe_49k.json") == public_tokenizers.path("word_bpe_49k.json") == PATH
+    assert tokenizer_path(PATH) == PATH
+    df = spark.createDataFrame([(1, "some tokens"), (2, None)], "doc_id long, text string")
+    assert token_digest(df).collect() == token_digest(df, PATH).collect()
