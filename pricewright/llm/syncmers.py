@@ -3,14 +3,19 @@
 A k-mer of K characters is an anchor when the smallest of its S-mers lies at its
 first or last place.  Whether a k-mer is chosen depends on its own characters
 only, so an unchanged passage keeps its anchors wherever it stands, and two
-texts can be matched position by position.  A fingerprint is the ``KEPT``
-smallest distinct anchor hashes (a bottom sketch) in hex; the likeness of two
-fingerprints is the share of common hashes among the smallest of both, which
-estimates the Jaccard similarity of the anchor sets.
+texts are matched position by position: neighbouring anchors of one that stand
+in the other at the same distance bound a passage of both (``passages``).  Every
+passage of at least 2K - S characters holds an anchor, so none is missed.  A
+fingerprint is the ``KEPT`` smallest distinct anchor hashes (a bottom sketch) in
+hex; the likeness of two fingerprints is the share of common hashes among the
+smallest of both, which estimates the Jaccard similarity of the anchor sets.
 
 Edge cases: null counts as empty; a text shorter than K has one anchor, itself;
-two empty texts are alike (1.0), an empty and another are not (0.0).  Very long
-texts are hashed block by block.
+two empty texts are alike (1.0), an empty and another are not (0.0).  Rows that
+agree in id and text stand side by side in the order of documents, each being the
+next one of the one before; an empty table gives an empty result; further columns
+are not read.  Very long texts are hashed block by block; matching holds the
+anchors of two texts, about a quarter of their characters.
 """
 
 from __future__ import annotations
@@ -71,12 +76,59 @@ def hash_of(c: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(c.tobytes(), digest_size=8).digest(), "little")
 
 
+def placed(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """(positions, hashes) of all anchors of a text, in order of position."""
+    found = list(anchors(text))
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    return np.concatenate([w for w, _ in found]), np.concatenate([h for _, h in found])
+
+
+def least(hashes: np.ndarray) -> np.ndarray:
+    """The smallest distinct hashes (their high bits), in order.  Equal high bits
+    are neighbours, so a few more than are kept do, unless many repeat."""
+    high = hashes >> np.uint64(64 - 4 * HEX)
+    for n in (8 * KEPT, len(high)):
+        part = np.partition(high, n)[:n] if n < len(high) else high
+        kept = np.unique(part)
+        if len(kept) >= KEPT or n >= len(high):
+            return kept[:KEPT]
+    return kept[:KEPT]
+
+
 def sketch(text: str) -> np.ndarray:
-    """The smallest distinct anchor hashes (their high bits), in order."""
-    kept = np.zeros(0, np.uint64)
-    for _, hashes in anchors(text):
-        kept = np.unique(np.concatenate([kept, hashes >> np.uint64(64 - 4 * HEX)]))[:KEPT]
-    return kept
+    """The fingerprint of a text, as numbers."""
+    return least(placed(text)[1])
+
+
+def passages(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray], n: int) -> np.ndarray:
+    """Passages of one text, of ``n`` characters, that stand in another: rows
+    (start, start in the other, length), in order of position.  Each anchor is
+    looked up at its first place in the other text; a passage goes on from anchor
+    to anchor as long as both texts keep the same distance, and ends with the last
+    anchor's k-mer.  Neighbouring anchors overlap, so passages are equal in every
+    character."""
+    at, hashes = a
+    first, where = np.unique(b[1], return_index=True)
+    if not len(at) or not len(first):
+        return np.zeros((0, 3), np.int64)
+    found = np.minimum(np.searchsorted(first, hashes), len(first) - 1)
+    hit = first[found] == hashes
+    shift = b[0][where[found]] - at
+    goes_on = hit[1:] & hit[:-1] & (shift[1:] == shift[:-1])
+    starts = np.flatnonzero(hit & ~np.concatenate([[False], goes_on]))
+    ends = np.flatnonzero(hit & ~np.concatenate([goes_on, [False]]))
+    to = np.minimum(at[ends] + K, n)
+    return np.stack([at[starts], at[starts] + shift[starts], to - at[starts]], axis=1)
+
+
+def covered(spans: np.ndarray) -> int:
+    """Characters inside passages, each counted once."""
+    if not len(spans):
+        return 0
+    ends = np.maximum.accumulate(spans[:, 0] + spans[:, 2])
+    before = np.concatenate([[0], ends[:-1]])
+    return int(np.maximum(0, ends - np.maximum(spans[:, 0], before)).sum())
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
@@ -101,18 +153,6 @@ def edited(text: str, following: str) -> str:
     return text[:len(text) - half] + following[:half]
 
 
-def anchor_table(docs: DataFrame) -> DataFrame:
-    """(doc_id, position, hash) of every anchor, for positional matching."""
-    def find(batches):
-        for b in batches:
-            for i, t in zip(b["doc_id"], b["text"]):
-                for where, hashes in anchors(t):
-                    yield pd.DataFrame({"doc_id": i, "position": where, "hash": hashes.view(np.int64)})
-
-    return docs.select("doc_id", filled().alias("text")).mapInPandas(
-        find, docs.select("doc_id").schema.simpleString()[7:-1].replace(":", " ") + ", position long, hash long")
-
-
 def with_next(docs: DataFrame) -> DataFrame:
     """The documents laid out so that each stands before its next one.
 
@@ -145,33 +185,39 @@ def with_next(docs: DataFrame) -> DataFrame:
             .withColumn("__place", F.explode(places))
             .select("doc_id", "text", "__key", "__tie", F.col("__place.to").alias("__to"), F.col("__place.tail").alias("__tail")))
     laid = sent.repartition("__to").sortWithinPartitions("__to", "__tail", "__key", "__tie")
-    return laid.select("doc_id", "text", "__to", "__tail")
+    return laid.select("doc_id", "text", "__tail")
 
 
 DIGEST = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
-          "near_edited double, near_next double")
+          "near_edited double, near_next double, shared_edited long, shared_next long, longest_next long")
 
 
 def _walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Emits each document when its next one arrives."""
-    held = None  # (range, doc_id, text, sketch) of the document that waits
+    held = None  # (doc_id, text, anchors, sketch) of the document that waits
     for b in batches:
         out = []
-        for i, text, to, tail in zip(b["doc_id"].astype("Int64"), b["text"], b["__to"], b["__tail"]):
+        for i, text, tail in zip(b["doc_id"].astype("Int64"), b["text"], b["__tail"]):
             if held is None and tail:
                 continue  # a second, equal tail
-            own = sketch(text)
+            at = placed(text)
+            own = least(at[1])
             if held is not None:
-                _, hid, htext, hown = held
+                hid, htext, hat, hown = held
                 new = edited(htext, text)
-                fresh = sketch(new)
+                new_at = placed(new)
+                fresh = least(new_at[1])
+                in_new, in_next = passages(hat, new_at, len(htext)), passages(hat, at, len(htext))
                 out.append((hid, len(htext), hashlib.sha256(new.encode("utf-8", "surrogatepass")).hexdigest(),
-                            shown(hown), shown(fresh), likeness(hown, fresh), likeness(hown, own)))
-            held = None if tail else (to, i, text, own)
+                            shown(hown), shown(fresh), likeness(hown, fresh), likeness(hown, own),
+                            covered(in_new), covered(in_next), int(in_next[:, 2].max(initial=0))))
+            held = None if tail else (i, text, at, own)
         got = pd.DataFrame(out, columns=[x.split()[0] for x in DIGEST.split(", ")])
         yield got.astype({"doc_id": "Int64"})
 
 
 def fingerprint_digest(docs: DataFrame) -> DataFrame:
-    """One row a document: fingerprints of its text and of its edited text."""
+    """One row a document: fingerprints of its text and of its edited text, the
+    characters of it in passages of the edited text (``shared_edited``) and of the
+    next document (``shared_next``), and the longest of the latter."""
     return with_next(docs.select("doc_id", "text")).mapInPandas(_walk, DIGEST)
