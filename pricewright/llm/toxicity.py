@@ -15,8 +15,11 @@ documents of at most ``max_chars`` characters, those with the least hash draws.
 Scoring reads every word.
 
 Edge cases: null, empty or letterless texts score as a document with one empty
-window; very long texts run slice by slice; without labels of both kinds every
-score is the share of toxic labels (0 without labels).
+window; very long texts run slice by slice, with the windows of the whole text;
+without labels of both kinds every score is the share of toxic labels (0 without
+labels).  Every row is scored by itself: repeated rows repeat their scores, an
+empty table gives an empty result, and only ``__score`` replaces a further column
+of its name.
 """
 
 from __future__ import annotations
@@ -44,11 +47,26 @@ PAD = 0
 HIGHEST = 8  # window logits of a document that its features use
 HELD = 200_000
 BLOCK = 4096
-
-
-def words_of(text: str) -> Iterator[list[str]]:
-    for part in slices(text):
-        yield WORD.findall(part.lower())
+SLICE = 1 << 20  # characters of a long text that are taken at once
+TAKEN = 50_000  # words whose windows run together
+
+
+def words_of(text: str, size: int = SLICE) -> Iterator[list[str]]:
+    """Words of a text, slice by slice; a word that a slice cuts goes whole to the
+    next one."""
+    if len(text) <= size:
+        yield WORD.findall(text.lower())
+        return
+    held: list[str] = []
+    for part in slices(text, size):
+        at = len(part)
+        while at and WORD.match(part, at - 1):
+            at -= 1
+        if at:
+            yield WORD.findall("".join([*held, part[:at]]).lower())
+            held = []
+        held.append(part[at:])
+    yield WORD.findall("".join(held).lower())
 
 
 def word_rows(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -236,57 +254,51 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(x @ self.weights[:-1] + self.weights[-1], -30, 30)))
 
 
-def summaries(net: Network, known: Words, texts: list[str]) -> list[Summary]:
-    """Scores all windows of the texts; windows of short texts run together."""
+def summaries(net: Network, known: Words, texts: list[str], size: int = SLICE) -> list[Summary]:
+    """Scores all windows of the texts; windows of short texts run together.  A
+    text of several slices has the windows of the whole text: words that a window
+    to come needs go on to the next slice."""
     out = [Summary() for _ in texts]
-    held: list[np.ndarray] = []
-    owner: list[int] = []
-
-    def flush() -> None:
-        if not held:
-            return
-        logits = net.logits(known.table, np.concatenate(held))
+    parts: list[tuple[int, list[str]]] = []
+    n = 0
+
+    def take() -> None:
+        nonlocal n
+        if known.used > HELD:
+            known.clear()
+        known.of([w for _, words in parts for w in words])
+        win = [windows(known.of(words)) for _, words in parts]
+        logits = net.logits(known.table, np.concatenate(win))
         at = 0
-        for k, w in zip(owner, held):
+        for (k, _), w in zip(parts, win):
             out[k].add(logits[at:at + len(w)])
             at += len(w)
-        held.clear()
-        owner.clear()
-
-    tails: dict[int, np.ndarray] = {}
-
-    def take(parts: list[tuple[int, list[str]]]) -> None:
-        """Windows of some slices; a later slice of a document goes on with the
-        last half window of the one before."""
-        known.of(list(dict.fromkeys(w for _, words in parts for w in words)))
-        for k, words in parts:
-            idx = known.of(words)
-            if k in tails:
-                idx = np.concatenate([tails.pop(k), idx])
-            held.append(windows(idx))
-            owner.append(k)
-            if len(words) >= STRIDE:
-                tails[k] = idx[len(idx) - STRIDE:]
-        flush()
-
-    parts, n = [], 0
+        parts.clear()
+        n = 0
+
+    def put(k: int, words: list[str]) -> None:
+        nonlocal n
+        parts.append((k, words))
+        n += len(words)
+        if n > TAKEN:
+            take()
+
     for k, text in enumerate(texts):
-        for words in words_of(text) if text else [[]]:
-            if k in tails and n == 0 and known.used > HELD:  # words of the tail keep their indices
-                names = {i: w for w, i in known.index.items()}
-                carried = [names[i] for i in tails[k]]
-                known.clear()
-                tails[k] = known.of(carried)
-            elif known.used > HELD and n == 0:
-                known.clear()
-                tails.clear()
-            parts.append((k, words))
-            n += len(words)
-            if n > 50_000:
-                take(parts)
-                parts, n = [], 0
-                tails = {k: tails[k]} if k in tails else {}
-    take(parts)
+        if len(text) <= size:
+            put(k, WORD.findall(text.lower()))
+            continue
+        rest, first = [], True
+        for words in words_of(text, size):
+            words = rest + words
+            full = max(0, (len(words) - WINDOW) // STRIDE + 1)  # windows that no later word can change
+            if full:
+                put(k, words[:(full - 1) * STRIDE + WINDOW])
+                first = False
+            rest = words[full * STRIDE:]
+        if first or len(rest) > STRIDE:
+            put(k, rest)
+    if parts:
+        take()
     return out
 
 

@@ -154,3 +154,22 @@ def test_secrets_with_labelled_findings(spark):
     labels = spark.createDataFrame([(k, 11 if k % 2 else 7, k % 2 == 1) for k in range(0, 60)], "doc_id long, start long, is_secret boolean")
     got = secret_scan.scan(docs, secret_scan.fit(docs, labels.filter("doc_id < 40"))).collect()
     assert all(r["is_secret"] == (r["doc_id"] % 2 == 1) for r in got) and len(got) == 60
+
+
+@pytest.mark.parametrize("size", [1, 7, 100, 333, 1000])
+def test_toxicity_windows_do_not_depend_on_slices(size, monkeypatch):
+    rng = np.random.default_rng(size)
+    monkeypatch.setattr(toxicity, "HELD", 40)
+    monkeypatch.setattr(toxicity, "TAKEN", 60)
+    net = toxicity.Network(seed=3)
+    net.word, net.part = (rng.standard_normal((2, toxicity.DIM)).astype(np.float32) for _ in range(2))
+    net.word_row[:], net.part_row[:] = rng.integers(0, 2, toxicity.ROWS), rng.integers(0, 2, toxicity.ROWS)
+    pieces = ["stone ", "River, ", "é ", "12 ", "\n\n", "x" * 40, "longerword", "- "]
+    texts = ["".join(rng.choice(pieces, n)) for n in (0, 3, 16, 31, 32, 33, 48, 49, 900)] + ["y" * 3000, "word " * 32, "word " * 48]
+    for text in texts:
+        assert [w for part in toxicity.words_of(text, size) for w in part] == toxicity.WORD.findall(text.lower())
+    whole = toxicity.summaries(net, toxicity.Words(net), texts)
+    for a, b, text in zip(whole, toxicity.summaries(net, toxicity.Words(net), texts, size), texts):
+        words = len(toxicity.WORD.findall(text.lower()))
+        assert a.n == b.n == max(1, -(-(words - 16) // 16))
+        assert np.allclose(a.features(), b.features(), atol=1e-4)
