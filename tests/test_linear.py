@@ -55,6 +55,20 @@ def test_elastic_net_is_optimal(alpha, ratio):
     assert np.abs(w - v).max() < 1e-6
 
 
+@pytest.mark.parametrize("ratio", [0.05, 0.5])
+def test_elastic_net_on_nearly_dependent_columns(ratio):
+    """Sweeps over the columns alone crawl here."""
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(400, 8)) @ rng.normal(size=(8, 60)) + 1e-3 * rng.normal(size=(400, 60))
+    y = x @ rng.normal(size=60) + 5 * rng.normal(size=400)
+    g = gram(x, y)
+    w, _ = L.solve_elastic_net(g, 1e-4, ratio)
+    l1, l2 = 1e-4 * ratio * g.n, 1e-4 * (1 - ratio) * g.n
+    slope, on = g.xy - g.xx @ w - l2 * w, w != 0
+    assert np.abs(slope - l1 * np.sign(w))[on].max() < 1e-8 * np.abs(g.xy).max()
+    assert (np.abs(slope)[~on] <= l1 * (1 + 1e-8) + 1e-9 * np.abs(g.xy).max()).all()
+
+
 def test_dependent_columns():
     x, y = data(d=4)
     x = np.column_stack([x, x[:, 0], np.full(len(x), 7.0)])
