@@ -127,9 +127,10 @@ def _tf(df: DataFrame, analyzer: T.Analyzer) -> DataFrame:
     return T.term_counts(df, "catalog_content", analyzer)
 
 
-def _corpus(tf: DataFrame) -> DataFrame:
-    """(term, df, total) over a tf table: partial+final aggregation by term."""
-    return tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total"))
+def _corpus(df: DataFrame, analyzer: T.Analyzer) -> DataFrame:
+    """(term, df, total): counted inside each document, added up in every task
+    and then by term."""
+    return T.corpus_stats(df, "catalog_content", analyzer).withColumnRenamed("tc", "total")
 
 
 _TOK = q.word_tokens(q.analyzer_text("catalog_content"))
@@ -159,7 +160,7 @@ select term, count(*) df, sum(tf) total from (
     select sample_id, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) term from t
   ) group by all) group by term"""))
 def q_word_ngrams(spark, sf):
-    return _corpus(_tf(catalog(spark, sf), T.Analyzer("word", 1, 2, stop_words=True)))
+    return _corpus(catalog(spark, sf), T.Analyzer("word", 1, 2, stop_words=True))
 
 
 def char_wb_sql(text_sql: str, n_min: int, n_max: int) -> str:
@@ -178,7 +179,7 @@ def char_wb_sql(text_sql: str, n_min: int, n_max: int) -> str:
 select term, count(*) df, sum(tf) total from (select sample_id, term, count(*) tf from grams group by all)
 group by term"""))
 def q_char_wb(spark, sf):
-    return _corpus(_tf(catalog(spark, sf), T.Analyzer("char_wb", 3, 4)))
+    return _corpus(catalog(spark, sf), T.Analyzer("char_wb", 3, 4))
 
 
 # ---- rows 21-25, 36: text statistics -------------------------------------------------------

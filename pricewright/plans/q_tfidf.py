@@ -80,7 +80,7 @@ def tfidf_all(spark: SparkSession, sf: str, p: T.TfidfParams) -> tuple[DataFrame
     select="select term, count(*) df, sum(tf) tc from a_tf where fold <> 0 group by term"))
 def q_term_document_frequency(spark, sf):
     train, _ = train_test(catalog(spark, sf))
-    return T.corpus_stats(T.term_counts(train, TEXT, T.Analyzer("word", 1, 1)))
+    return T.corpus_stats(train, TEXT, T.Analyzer("word", 1, 1))
 
 
 @register("df_pruning", with_catalog(*tfidf_ctes("a", WORD)[:4], select="""
@@ -88,14 +88,14 @@ select term, df from a_st, a_n where df >= 5 and df <= 0.8 * n"""))
 def q_df_pruning(spark, sf):
     train, _ = train_test(catalog(spark, sf))
     p = T.TfidfParams(WORD.analyzer, min_df=5, max_df=0.8, max_features=None)
-    return T.fit_vocabulary(T.term_counts(train, TEXT, p.analyzer), T.n_docs_of(train), p).select("term", "df")
+    return T.fit_vocabulary(T.corpus_stats(train, TEXT, p.analyzer), T.n_docs_of(train), p).select("term", "df")
 
 
 @register("vocabulary_topk", with_catalog(*tfidf_ctes("a", WORD)[:5], select="""
 select term, df, tc, round(idf, 6) idf from a_voc"""))
 def q_vocabulary_topk(spark, sf):
     train, _ = train_test(catalog(spark, sf))
-    v = T.fit_vocabulary(T.term_counts(train, TEXT, WORD.analyzer), T.n_docs_of(train), WORD)
+    v = T.fit_vocabulary(T.corpus_stats(train, TEXT, WORD.analyzer), T.n_docs_of(train), WORD)
     return v.select("term", "df", "tc", r6("idf").alias("idf"))
 
 

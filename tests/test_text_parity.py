@@ -95,3 +95,26 @@ def test_distinct_characters(spark):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
     got = {r["i"]: r["r"] for r in df.select("i", tx.unique_char_ratio("t").alias("r")).collect()}
     assert got == {i: (len(set(t)) / len(t) if t else 0.0) for i, t in enumerate(texts)}
+
+
+def test_corpus_counts_and_known_terms(spark):
+    """Sums of a task and numbers of known terms, against counting a document at
+    a time; a task that holds few terms sends them on more often."""
+    from collections import Counter
+
+    texts = ["", "aa aa b", "Ünï cödé aa", None, "the aa bbb of the b", "x" * 40]
+    docs = spark.createDataFrame(list(enumerate(texts)), "i long, t string").repartition(2)
+    args = {"c:": ("char_wb", 2, 4, None, True), "w:": ("word", 1, 2, ("the", "of"), True)}
+    for held in (1, 1 << 18):
+        got = counting.count_corpus(docs, "t", args, held).groupBy("block", "term").agg({"df": "sum", "tc": "sum"}).collect()
+        df, tc = Counter(), Counter()
+        for b, a in args.items():
+            for t in texts:
+                for term, n in counting.make_counter(*a)(t).items():
+                    df[b, term] += 1
+                    tc[b, term] += n
+        assert {(r["block"], r["term"]): (r["sum(df)"], r["sum(tc)"]) for r in got} == {k: (df[k], tc[k]) for k in df}
+    number = {t: i for i, t in enumerate(sorted(b + t for b, t in df if t != "aa"))}
+    rows = {r["i"]: dict(zip(r["idx"], r["tf"])) for r in counting.count_known(docs, "i", "t", list(args.items()), number).collect()}
+    for i, t in enumerate(texts):
+        assert rows[i] == {number[b + w]: n for b, a in args.items() for w, n in counting.make_counter(*a)(t).items() if b + w in number}
