@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import os
 
 import numpy as np
@@ -10,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage, scratch_path, table_path  # noqa: F401  (re-exported to the operators)
+from ..session import cut_lineage, free_shuffles, scratch_path, table_path  # noqa: F401  (re-exported to the operators)
 
 #: Words of the size and shingle rules: runs of anything but ASCII white space.
 SPACE_WORD = r"[^\x20\x09-\x0D]+"
@@ -39,14 +38,6 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
         spark.conf.set(key, str(rows))
 
 
-def free_shuffles(spark: SparkSession) -> None:
-    """Spark deletes the shuffle files of finished jobs when the driver's garbage
-    collector finds them unreachable.  Jobs of many rounds ask for that after a
-    round, so that the disks hold the files of one round, not of all."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def text_key(c: str = "text") -> Column:
     """Equal texts have equal keys; null counts as empty."""
     return F.md5(filled(c).cast("binary"))

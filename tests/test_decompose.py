@@ -54,3 +54,24 @@ def test_pca_matches_dense(spark):
     fast = {r["sample_id"]: r["q"] for r in block.pca.transform(vis, block.scaler.column("features"), "q").collect()}
     for r in rows:
         assert np.allclose(fast[r["sample_id"]], r["p"], atol=1e-9)
+
+
+def test_svd_of_counted_rows(spark):
+    """Rows of counts give the model and the scores of the long form, and nothing
+    of the passes stays on the disks."""
+    from pricewright.plans.features import FeatureConfig, text_blocks
+
+    train, test = train_test(catalog(spark, SF_SMALL))
+    word = TfidfParams(Analyzer("word", 1, 1), min_df=2, max_df=0.9, max_features=200, prefix="w:")
+    char = TfidfParams(Analyzer("char_wb", 2, 3), min_df=2, max_df=0.9, max_features=100, prefix="c:")
+    vocab, xtr, xte, weights = text_blocks(train, test, "catalog_content", FeatureConfig(word=word, char=char))
+    assert xtr.columns == ["sample_id", "idx", "tf"] and xtr.count() == train.count()
+    packed = decompose.fit_truncated_svd(xtr, vocab, 5, weights=weights)
+    from pricewright.operators.tfidf import fit_transform_blocks
+
+    vocab2, (ltr, lte) = fit_transform_blocks(train, [test], "catalog_content", [word, char])
+    long = decompose.fit_truncated_svd(ltr, vocab2, 5)
+    assert packed.singular_values == pytest.approx(long.singular_values, rel=1e-9)
+    assert np.abs(packed.components - long.components).max() < 1e-7
+    a, b = ({r["sample_id"]: np.array(r["svd"]) for r in m.transform(x).collect()} for m, x in ((packed, xte), (long, lte)))
+    assert all(np.abs(a[i] - b[i]).max() < 1e-7 for i in b)
