@@ -2,16 +2,16 @@
 
 Candidates are runs of at least ``MIN_LENGTH`` key characters.  Each is described
 by its length and character classes, its character transitions (how often the
-class changes, and how likely its bigrams are in the words of the sample), its
-dictionary coverage (the share that common words of the sample make up), its
+class changes, and how likely its bigrams are in the words of all texts), its
+dictionary coverage (the share that common words of all texts make up), its
 path (hashed parts of the source) and its neighbouring words (hashed, and
 whether they name a credential or assign it).  The forest is trained from
 labelled findings, and its probability decides.
 
 Findings are labelled by a table (doc_id, start, is_secret) or, without one, by
 ``weak_label``, which is sure of few candidates and leaves the others to the
-forest.  Fitting uses ``fit_docs`` documents of at most ``max_chars`` characters,
-those with the least hash draws; scanning reads all texts.
+forest.  Fitting reads every text: words and bigrams are counted in the tasks
+and added up by Spark, and the forest learns from all labelled findings.
 
 Edge cases: null or empty texts have no candidates; repeated rows repeat their
 findings; a null path is the empty path; very long texts are scanned slice by
@@ -34,7 +34,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import filled, slices, uniform
+from .common import cut_lineage, filled, slices
 
 MIN_LENGTH = 16
 KEY_CHARS = r"A-Za-z0-9_+/=.@\-"
@@ -45,28 +45,31 @@ ASSIGNS = re.compile(r"[=:]\s*[\"']?$")
 CONTEXT = 48
 PATH_ROWS, WORD_ROWS = 4, 8
 DICTIONARY = 5000
+BIGRAMS = 100_000
+HELD = 1 << 18
 
 
 @dataclass
 class Language:
-    """Bigram log frequencies and common words of the sample."""
+    """Bigram log frequencies and common words."""
 
     bigrams: dict[str, float] = field(default_factory=dict)
     rare: float = -12.0
     words: frozenset = frozenset()
 
     @staticmethod
-    def of(texts: list[str]) -> Language:
-        words: Counter = Counter()
-        for t in texts:
-            words.update(w for part in slices(t) for w in WORD.findall(part.lower()))
-        pairs: Counter = Counter()
-        for w, n in words.items():
-            for a, b in zip(f"^{w}", f"{w}$"):
-                pairs[a + b] += n
-        total = sum(pairs.values()) or 1
-        common = sorted((w for w in words if len(w) >= 3), key=lambda w: (-words[w], w))[:DICTIONARY]
-        return Language({p: math.log(n / total) for p, n in pairs.items()}, math.log(0.5 / total), frozenset(common))
+    def of(rows: DataFrame) -> Language:
+        """From the ``text`` of all rows.  Kept on the driver: ``DICTIONARY`` words
+        and the ``BIGRAMS`` most frequent pairs, of which alphabets have fewer;
+        pairs beyond them count as rare."""
+        counts = rows.select("text").mapInPandas(_counted, "kind string, item string, n long")
+        counts = counts.groupBy("kind", "item").agg(F.sum("n").alias("n"))
+        counts = cut_lineage(counts.filter((F.col("kind") == "pair") | (F.char_length("item") >= 3)))
+        words = counts.filter("kind = 'word'").orderBy(F.desc("n"), "item").limit(DICTIONARY).collect()
+        pairs = counts.filter("kind = 'pair'")
+        total = pairs.agg(F.sum("n")).first()[0] or 1
+        kept = pairs.orderBy(F.desc("n"), "item").limit(BIGRAMS).collect()
+        return Language({r["item"]: math.log(r["n"] / total) for r in kept}, math.log(0.5 / total), frozenset(r["item"] for r in words))
 
     def likelihood(self, text: str) -> float:
         low = text.lower()
@@ -83,6 +86,33 @@ class Language:
         return hit / len(text) if text else 0.0
 
 
+def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Words and bigrams of a task's texts with their counts, sent on whenever
+    ``HELD`` words are held."""
+    words: Counter = Counter()
+
+    def flush() -> Iterator[pd.DataFrame]:
+        pairs: Counter = Counter()
+        for w, n in words.items():
+            for a, b in zip(f"^{w}", f"{w}$"):
+                pairs[a + b] += n
+        for kind, found in (("word", words), ("pair", pairs)):
+            items = list(found.items())
+            for at in range(0, len(items), 1 << 16):
+                part = items[at:at + (1 << 16)]
+                yield pd.DataFrame({"kind": pd.Series([kind] * len(part), dtype=object),
+                                    "item": pd.Series([w for w, _ in part], dtype=object), "n": [n for _, n in part]})
+        words.clear()
+
+    for b in batches:
+        for t in b["text"]:
+            for part in slices(t):
+                words.update(WORD.findall(part.lower()))
+                if len(words) >= HELD:
+                    yield from flush()
+    yield from flush()
+
+
 def _kind(c: str) -> int:
     return 0 if c.isdigit() else 1 if c.islower() else 2 if c.isupper() else 3
 
@@ -133,56 +163,51 @@ def weak_label(word: str, before: str, lang: Language) -> int | None:
     return None
 
 
-def findings(docs: DataFrame, lang: Language) -> DataFrame:
-    """Every candidate of every text, described."""
+def findings(docs: DataFrame, lang: Language, weak: bool = False) -> DataFrame:
+    """Every candidate of every text, described; ``weak``: with its weak label."""
     held = docs.sparkSession.sparkContext.broadcast(lang)  # DICTIONARY words and the bigrams of letters
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = ["doc_id", "start", "length", "sha256", "features"]
+        names = ["doc_id", "start", "length", "sha256", "features"] + ["weak"] * weak
+        kinds = {"doc_id": "Int64", **({"weak": "Int64"} if weak else {})}
         for b in batches:
             out = []
             for i, text, path in zip(b["doc_id"].astype("Int64"), b["text"], b["path"]):
                 for start, word, before, after in candidates(text):
                     out.append((i, start, len(word), hashlib.sha256(word.encode()).hexdigest(),
-                                features(word, before, after, path, held.value)))
+                                features(word, before, after, path, held.value),
+                                *([weak_label(word, before, held.value)] if weak else [])))
                     if len(out) >= 10_000:
-                        yield pd.DataFrame(out, columns=names).astype({"doc_id": "Int64"})
+                        yield pd.DataFrame(out, columns=names).astype(kinds)
                         out = []
-            yield pd.DataFrame(out, columns=names).astype({"doc_id": "Int64"})
-
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), filled().alias("text"), filled("source").alias("path"))
-    return rows.mapInPandas(run, "doc_id long, start long, length long, sha256 string, features array<double>")
-
-
-def fit(docs: DataFrame, labels: DataFrame | None = None, fit_docs: int = 4000, max_chars: int = 100_000,
-        trees: int = 40, depth: int = 8):
-    """(language, forest or constant) from a bounded sample of the documents."""
-    spark = docs.sparkSession
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), filled().alias("text"), filled("source").alias("path"))
-    rows = rows.filter(F.col("doc_id").isNotNull())
-    ids = rows.select("doc_id").distinct().orderBy(uniform("secret", F.col("doc_id").cast("string")), "doc_id").limit(fit_docs)
-    ids = spark.createDataFrame([tuple(r) for r in ids.collect()], "doc_id long")
-    texts = (rows.filter(F.char_length("text") <= max_chars).join(F.broadcast(ids), "doc_id")
-             .groupBy("doc_id").agg(F.min(F.struct("text", "path")).alias("t")).select("doc_id", "t.*").collect())
-    texts.sort(key=lambda r: r["doc_id"])
-    lang = Language.of([r["text"] for r in texts])
-    known = None
-    if labels is not None:
-        known = {(r["doc_id"], r["start"]): int(r["is_secret"]) for r in
-                 labels.join(F.broadcast(ids), "doc_id").select("doc_id", "start", "is_secret").collect()}
-    described = []
-    for r in texts:
-        for start, word, before, after in candidates(r["text"]):
-            y = weak_label(word, before, lang) if known is None else known.get((r["doc_id"], start))
-            if y is not None:
-                described.append((float(y), features(word, before, after, r["path"], lang)))
-    kinds = {y for y, _ in described}
+            yield pd.DataFrame(out, columns=names).astype(kinds)
+
+    shape = "doc_id long, start long, length long, sha256 string, features array<double>" + (", weak long" if weak else "")
+    return _rows(docs).mapInPandas(run, shape)
+
+
+def _rows(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), filled().alias("text"), filled("source").alias("path"))
+
+
+def fit(docs: DataFrame, labels: DataFrame | None = None, trees: int = 40, depth: int = 8):
+    """(language, forest or constant) from all documents, whatever their length."""
+    lang = Language.of(_rows(docs))
+    if labels is None:
+        described = findings(docs, lang, weak=True).withColumnRenamed("weak", "label")
+    else:
+        known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("start").cast("long").alias("start"),
+                              F.col("is_secret").cast("int").alias("label"))
+        described = findings(docs, lang).join(known.dropna().groupBy("doc_id", "start").agg(F.max("label").alias("label")), ["doc_id", "start"])
+    # stored for the forest's passes, in an order that no run changes: its draws follow the rows
+    described = described.filter("label is not null").select(F.col("label").cast("double").alias("label"), "doc_id", "start", "sha256", "features")
+    data = cut_lineage(described.repartition("doc_id").sortWithinPartitions("doc_id", "start", "sha256", "features").select("label", "features"))
+    kinds = [r["label"] for r in data.select("label").distinct().collect()]
     if len(kinds) < 2:
-        return lang, (kinds.pop() if kinds else 0.0)
-    data = spark.createDataFrame(described, "label double, f array<double>").withColumn("x", array_to_vector("f"))
+        return lang, (kinds[0] if kinds else 0.0)
     forest = RandomForestClassifier(featuresCol="x", labelCol="label", numTrees=trees, maxDepth=depth, seed=5,
                                     predictionCol="__kind", rawPredictionCol="__raw", probabilityCol="__p")
-    return lang, forest.fit(data)
+    return lang, forest.fit(data.select("label", array_to_vector("features").alias("x")))
 
 
 def scan(docs: DataFrame, model) -> DataFrame:

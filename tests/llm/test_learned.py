@@ -173,3 +173,14 @@ def test_toxicity_windows_do_not_depend_on_slices(size, monkeypatch):
         words = len(toxicity.WORD.findall(text.lower()))
         assert a.n == b.n == max(1, -(-(words - 16) // 16))
         assert np.allclose(a.features(), b.features(), atol=1e-4)
+
+
+def test_secrets_are_learned_from_all_texts(spark):
+    """Words of every text count, whatever their number or length."""
+    rows = [(k, f"alpha{'bcdefghij'[k % 9]} beta", None, "s", 9) for k in range(4500)] + [(4500, "zulu " * 30_000, None, "s", 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    lang, _ = secret_scan.fit(docs)
+    assert "zulu" in lang.words
+    words = [w for r in rows for w in secret_scan.WORD.findall(r[1])]
+    pairs = [a + b for w in words for a, b in zip(f"^{w}", f"{w}$")]
+    assert lang.bigrams["zu"] == pytest.approx(np.log(30_000 / len(pairs)))
