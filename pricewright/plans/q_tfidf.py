@@ -161,8 +161,9 @@ def q_tfidf_config_ladder(spark, sf):
     there, and the width of its SVD (an empty block has none)."""
     train, _ = train_test(catalog(spark, sf))
     train = train.select("sample_id", TEXT)
+    stats = T.kept_stats(train, TEXT, [p for ladder in _LADDERS.values() for p in ladder])
     rows = []
     for name, ladder in _LADDERS.items():
-        for k, r in enumerate(T.climb(train, TEXT, ladder)):
+        for k, r in enumerate(T.climb(train, TEXT, ladder, stats=stats)):
             rows.append((name, k, r.reason, r.n_terms, r.chosen, min(SVD_WIDTH, r.n_terms)))
     return spark.createDataFrame(rows, "block string, step int, reason string, n_terms long, chosen boolean, svd_width int")

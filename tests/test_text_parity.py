@@ -118,3 +118,25 @@ def test_corpus_counts_and_known_terms(spark):
     rows = {r["i"]: dict(zip(r["idx"], r["tf"])) for r in counting.count_known(docs, "i", "t", list(args.items()), number).collect()}
     for i, t in enumerate(texts):
         assert rows[i] == {number[b + w]: n for b, a in args.items() for w, n in counting.make_counter(*a)(t).items() if b + w in number}
+
+
+def test_ladders_share_one_reading_of_the_texts(spark, monkeypatch):
+    """Settings with the same analyzer have one set of statistics, made in one pass,
+    and rungs see the terms that they would see alone."""
+    from dataclasses import replace
+
+    from pricewright.operators import tfidf as T
+
+    docs = spark.createDataFrame([(str(i), t) for i, t in enumerate(DOCS * 3)], "sample_id string, t string")
+    words = T.TfidfParams(T.Analyzer("word", 1, 2), min_df=3, max_df=0.9, max_features=50)
+    chars = T.TfidfParams(T.Analyzer("char_wb", 2, 3), min_df=0.5, max_features=20)
+    ladder = [replace(words, min_df=1000), words, replace(words, max_features=4), chars, replace(chars, max_df=1.5)]
+    want = [0 if T.invalid(p) else T.fit_vocabulary(T.corpus_stats(docs, "t", p.analyzer), T.n_docs_of(docs), p).count() for p in ladder]
+    passes = []
+    once = T.stats_by_block
+    monkeypatch.setattr(T, "stats_by_block", lambda *a: passes.append(a) or once(*a))
+    stats = T.kept_stats(docs, "t", ladder)
+    assert [r.n_terms for r in T.climb(docs, "t", ladder, stats=stats)] == want
+    assert [r.n_terms for r in T.climb(docs, "t", ladder[:2], stats=stats)] == want[:2]
+    assert [r.chosen for r in T.climb(docs, "t", ladder, stats=stats)] == [False, True, False, False, False]
+    assert len(passes) == 1 and want[1] > 4
