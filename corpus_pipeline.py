@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from pricewright.llm import decontam, langid, mixing, neardup, sharding
 from pricewright.llm.common import table
-from pricewright.session import scratch_path
+from pricewright.session import free_shuffles, scratch_path
 
 SHARDS = 8
 #: What the stages read; all other columns travel as one value.
@@ -104,4 +104,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = scratch_path(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        free_shuffles(spark)  # a stage's models, broadcasts and shuffle files end with it
     return docs

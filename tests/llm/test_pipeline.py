@@ -92,3 +92,12 @@ def test_the_model_decides_the_language(spark):
     assert ids == set(range(40)) | {100, 101}
     ids = {r["doc_id"] for r in corpus_pipeline.identify_language(spark, docs, SF_SMALL, wanted=("en",)).collect()}
     assert ids == set(range(1, 40, 2)) | {100}
+
+
+def test_a_stage_is_let_go_before_the_next(spark, monkeypatch):
+    """The driver holds the models and broadcasts of one stage, not of all."""
+    done, freed = [], []
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [(n, lambda spark, docs, sf, n=n: done.append(n) or docs) for n in "abc"])
+    monkeypatch.setattr(corpus_pipeline, "free_shuffles", lambda _: freed.append(len(done)))
+    assert corpus_pipeline.run(spark, SF_SMALL).count() > 0
+    assert freed == [1, 2, 3]
