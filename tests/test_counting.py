@@ -55,3 +55,33 @@ def test_a_task_without_texts_and_an_empty_vocabulary():
     for args in ANALYZERS:
         assert not sum(map(len, counting.count_corpus(Empty(), "t", {"b": args})))
         assert [len(x) for x in counting.known_indexer({}, *args)("aa bb cc")] == [0, 0]
+
+
+@pytest.mark.parametrize("cap", [1, 3, 5, 8, 12, 40, 10_000])
+def test_pairs_of_rare_words_are_not_counted(spark, cap, monkeypatch):
+    """The vocabulary is that of counting every pair; pairs of words too rare for it
+    never leave a task."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    from pricewright.operators import tfidf as T
+
+    rnd = random.Random(cap)
+    often, rare = [f"w{i}" for i in range(12)], [f"rare{i}" for i in range(400)]
+    rows = [(str(i), " ".join(rnd.choices(often, [2.0 ** -k for k in range(12)], k=12) + ["the"] + rnd.sample(rare, 3))) for i in range(80)]
+    docs = spark.createDataFrame(rows, "sample_id string, t string")
+    p = T.TfidfParams(T.Analyzer("word", 1, 2, stop_words=True), min_df=2, max_df=0.8, max_features=cap, prefix="w:")
+    chars = T.TfidfParams(T.Analyzer("char_wb", 2, 3), min_df=2, max_features=30, prefix="c:")
+    sent = []
+    once = T.count_corpus
+    monkeypatch.setattr(T, "count_corpus", lambda *a, **k: sent.append(once(*a, **k)) or sent[-1])
+    got = T.fit_blocks(docs, [], "t", [p, chars]).vocab.drop("idx").orderBy("term").collect()
+    moved = sum(d.filter(F.contains("term", F.lit(" ")) & (F.col("block") == "w:")).agg(F.sum("tc")).first()[0] or 0 for d in sent)
+    monkeypatch.undo()
+    want = []
+    for q in (p, chars):
+        want += T.fit_vocabulary(T.corpus_stats(docs, "t", q.analyzer), T.n_docs_of(docs), q).collect()
+    assert got == sorted(want, key=lambda r: r["term"])
+    every = T.corpus_stats(docs, "t", p.analyzer).filter(F.contains("term", F.lit(" "))).agg(F.sum("tc")).first()[0]
+    assert moved < every
